@@ -20,22 +20,25 @@ def latest_rates(rates: DataFrame) -> DataFrame:
     return rates.groupBy("currency").agg(F.max_by("usd_rate", "rate_date").alias("usd_rate"))
 
 
-def daily_rates(rates: DataFrame, last_day: Column) -> DataFrame:
+def daily_rates(rates: DataFrame) -> DataFrame:
     """One row per currency and calendar day, holding the last rate on or before that day.
 
     Turning validity spans into days makes the as-of lookup a plain equality join on currency and day, which
     Spark can spread over both, whereas a range join on the currency alone would put all rows of a common
-    currency into one task. The size is bounded by currencies times days.
+    currency into one task. The size is bounded by currencies times the days covered by the rate table.
     """
     one_per_day = rates.groupBy("currency", "rate_date").agg(F.max("usd_rate").alias("usd_rate"))
     following = F.lead("rate_date").over(Window.partitionBy("currency").orderBy("rate_date"))
     spans = one_per_day.select(
-        "currency", "usd_rate", "rate_date",
-        F.greatest(F.col("rate_date"), F.coalesce(F.date_sub(following, 1), last_day)).alias("_until"),
+        "currency", "usd_rate", "rate_date", F.coalesce(F.date_sub(following, 1), newest_rate(rates)).alias("_until")
     )
     return spans.select("currency", F.explode(F.sequence("rate_date", "_until")).alias("day"), "usd_rate")
 
 
+def newest_rate(rates: DataFrame) -> Column:
+    return rates.agg(F.max("rate_date")).scalar()
+
+
 def to_usd(
     df: DataFrame,
     rates: DataFrame,
@@ -55,9 +58,9 @@ def to_usd(
         lookup = latest_rates(rates).withColumnRenamed("currency", "_code").withColumnRenamed("usd_rate", "_rate")
         on = ["_code"]
     else:
-        work = work.withColumn("_day", F.col(date_col).cast("date"))
-        last_day = df.agg(F.max(F.col(date_col).cast("date"))).scalar()
-        lookup = daily_rates(rates, last_day).select(
+        # Days after the newest rate use the newest day of the table.
+        work = work.withColumn("_day", F.least(F.col(date_col).cast("date"), newest_rate(rates)))
+        lookup = daily_rates(rates).select(
             F.col("currency").alias("_code"), F.col("day").alias("_day"), F.col("usd_rate").alias("_rate")
         )
         on = ["_code", "_day"]

@@ -34,11 +34,16 @@ def monthly_volume(df: DataFrame, date_col: str, id_col: str, key: Sequence[str]
 
 def fill_month_gaps(volume: DataFrame, key: Sequence[str] = ()) -> DataFrame:
     """Months without rows between the first and last month of a series, with volume 0."""
-    span = volume.groupBy(*key).agg(F.min("month").alias("_from"), F.max("month").alias("_to"))
-    months = span.select(
-        *key, F.explode(F.sequence("_from", "_to", F.expr("interval 1 month"))).alias("month")
+    last_before_next = F.coalesce(F.add_months(F.lead("month").over(in_order(key)), -1), F.col("month"))
+    spans = volume.withColumn("_months", F.sequence("month", last_before_next, F.expr("interval 1 month")))
+    return (
+        spans.withColumn("_month", F.explode("_months"))
+        .select(
+            *key,
+            F.col("_month").alias("month"),
+            F.when(F.col("_month") == F.col("month"), F.col("volume")).otherwise(0).alias("volume"),
+        )
     )
-    return months.join(volume, [*key, "month"], "left").na.fill({"volume": 0})
 
 
 def macro_rollup(macro: DataFrame, how: str = "count") -> DataFrame:
@@ -123,22 +128,20 @@ def decompose(df: DataFrame, value: str, key: Sequence[str] = (), period: int =
             "_phase": F.pmod(F.row_number().over(order) - 1, F.lit(period)),
         }
     )
-    phases = (
-        rows.groupBy(*key, "_phase")
-        .agg(F.avg(x - F.col("trend")).alias("_mean"))
-        .withColumns(
-            {
-                "_centre": F.avg("_mean").over(whole(key, "_phase")),
-                "_known": F.count("_mean").over(whole(key, "_phase")),
-            }
-        )
-        .select(
-            *key, "_phase",
-            F.when(F.col("_known") == period, F.col("_mean") - F.col("_centre")).alias("seasonality"),
-        )
-    )
-    return (
-        rows.join(phases, [*key, "_phase"])
-        .withColumn("residual", x - F.col("trend") - F.col("seasonality"))
-        .drop("_phase")
+    # All windows below are partitioned by the series or finer, so they share one shuffle.
+    phase = Window.partitionBy(*key, "_phase")
+    series = Window.partitionBy(*key)
+    rows = rows.withColumns(
+        {"_mean": F.avg(x - F.col("trend")).over(phase), "_size": F.count(F.lit(1)).over(phase)}
+    ).withColumns(
+        {
+            # Every row adds its share of its phase's mean, so the sums run over phases, not rows.
+            "_centre": F.sum(F.col("_mean") / F.col("_size")).over(series) / period,
+            "_phases": F.max("_phase").over(series) + 1,
+            "_missing": F.count_if(F.col("_mean").isNull()).over(series),
+        }
     )
+    full = (F.col("_missing") == 0) & (F.col("_phases") == period)
+    return rows.withColumn("seasonality", F.when(full, F.col("_mean") - F.col("_centre"))).withColumn(
+        "residual", x - F.col("trend") - F.col("seasonality")
+    ).drop("_phase", "_mean", "_size", "_centre", "_phases", "_missing")

@@ -2,10 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DoubleType,
+    LongType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
+
+_TYPES: dict[str, DataType] = {
+    "string": StringType(),
+    "long": LongType(),
+    "double": DoubleType(),
+    "date": DateType(),
+    "timestamp": TimestampType(),
+    "map": MapType(StringType(), StringType()),
+}
+
+
+def _layout(text: str) -> StructType:
+    """``name type, name type``; unlike a DDL text this needs no running session."""
+    return StructType([StructField(n, _TYPES[t]) for n, t in (item.split() for item in text.split(","))])
 
 # The raw order book, in file order.
-ORDER_BOOK_RAW = StructType.fromDDL(
+ORDER_BOOK_RAW = _layout(
     """
     marketinggroup long, orderingdealer long, orderrequestnumber long, systemorigin string, ordernumber long,
     ordertype string, orderreceiveddate string, deliverymethod string, seriescode string, modelcode string,
@@ -78,7 +102,7 @@ UNPUBLISHED_COLUMNS = [
 ]
 
 # The bank churn table, in file order.
-CHURN = StructType.fromDDL(
+CHURN = _layout(
     """
     rownumber long, customerid long, surname string, creditscore long, geography string, gender string, age long,
     tenure long, balance double, numofproducts long, hascrcard long, isactivemember long, estimatedsalary double,
@@ -89,23 +113,24 @@ CHURN = StructType.fromDDL(
 CHURN_FEATURES = CHURN.names[3:13]
 CHURN_TARGET = CHURN.names[13]
 
-RULES = StructType.fromDDL("rule_id long, rule_dscrp string")
-RULE_LISTS = StructType.fromDDL(
+RULES = _layout("rule_id long, rule_dscrp string")
+RULE_LISTS = _layout(
     """
     file_src_cd string, file_upld_type string, raw_to_transformed_rules string,
     transformed_to_published_rules string
     """
 )
-INGEST_LOG = StructType.fromDDL(
+INGEST_LOG = _layout(
     """
     file_upld_log_id long, file_src_cd string, file_upld_type string, upld_ts timestamp,
     published_file_path string, published_file_name string, model string
     """
 )
-MACRO = StructType.fromDDL("series string, date date, value double")
-RATES = StructType.fromDDL("currency string, rate_date date, usd_rate double")
-RUNS = StructType.fromDDL(
-    "job string, model string, params map<string,string>, metric string, value double, ts timestamp"
+MACRO = _layout("series string, date date, value double")
+RATES = _layout("currency string, rate_date date, usd_rate double")
+METRIC_FILE = _layout("job string, value double")
+RUNS = _layout(
+    "job string, model string, params map, metric string, value double, ts timestamp"
 )
 
 # The macro-economic series joined to the order volume.
