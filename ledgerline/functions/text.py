@@ -27,7 +27,7 @@ def order_key(market: Column, bill_to: Column, order: Column, sep: str = "") ->
 
 def list_items(text: Column) -> Column:
     """Comma list as an array of trimmed entries."""
-    return F.transform(F.split(text, ","), F.trim)
+    return F.transform(F.split(text, ","), lambda entry: F.trim(entry))
 
 
 def file_name(path: Column) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import month_start
@@ -70,7 +70,7 @@ def add_lags(df: DataFrame, value: str, lags: int = 3, key: Sequence[str] = (),
     """``<value>_lag_k``: the value k rows earlier in month order, optionally as ``log(1 + x)``."""
     window = in_order(key)
 
-    def lagged(k: int):
+    def lagged(k: int) -> Column:
         column = F.lag(value, k).over(window)
         return F.log1p(column) if log else column
 
@@ -98,13 +98,20 @@ def positional_split(
 def monthly_discounts(
     df: DataFrame, date_col: str, discount_col: str, value_col: str, key: Sequence[str] = ()
 ) -> DataFrame:
-    """Mean discount and mean order value per month, rounded half-even to two places."""
+    """Mean discount and mean order value per month, rounded half-even to two places.
+
+    The means are exact decimals, so a half does not depend on the order in which the rows were added up.
+    """
+
+    def mean(column: str) -> Column:
+        return F.bround(F.avg(F.col(column).cast("decimal(20,6)")), 2).cast("double")
+
     return (
         df.where(F.col(date_col).isNotNull())
         .groupBy(*key, month_start(F.col(date_col)).alias("month"))
         .agg(
-            F.bround(F.avg(discount_col), 2).alias("avg_discount"),
-            F.bround(F.avg(value_col), 2).alias("avg_order_value"),
+            mean(discount_col).alias("avg_discount"),
+            mean(value_col).alias("avg_order_value"),
         )
     )
 
