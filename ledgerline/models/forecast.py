@@ -109,7 +109,7 @@ def _stable(coefficients: Column) -> Column:
 def fit_models(train: DataFrame, value: str, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """The best model per series by information criterion, and the training rows with regressors.
 
-    Returns ``(key, p, q, sp, sq, coefficients, aic, n)`` and the rows. Series too short for the largest candidate
+    ``train`` is read more than once. Returns ``(key, p, q, sp, sq, coefficients, aic, n)`` and the rows. Series too short for the largest candidate
     have no model.
     """
     names = [f"_r{i}" for i in range(len(_REGRESSORS))]
@@ -204,7 +204,7 @@ def seasonal_naive(df: DataFrame, value: str, key: Sequence[str] = (), horizon:
 
 def fitted_values(df: DataFrame, value: str, key: Sequence[str] = (), horizon: int = SEASON) -> DataFrame:
     """One-step-ahead fit of the training rows: ``(key, month, actual, fitted)``."""
-    train = with_steps(df.where(F.col(value).isNotNull()), key, horizon).where(F.col("step") == 0)
+    train = cut_lineage(with_steps(df.where(F.col(value).isNotNull()), key, horizon).where(F.col("step") == 0))
     models, rows = fit_models(train, value, key)
     best = models.select(*key, F.col("coefficients").alias("_b"))
     joined = _by_series(rows, best, key, "_b")

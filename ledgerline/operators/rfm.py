@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.money import amount_sum
 from ledgerline.operators.numbering import measure_quartiles
 
 
-def rfm_measures(df: DataFrame, id_col: str, date_col: str, order_col: str, value_col: str) -> DataFrame:
-    """Days since the last order (counted from the day after the newest order), order count and value sum."""
+def rfm_measures(
+    df: DataFrame, id_col: str, date_col: str, order_col: str, value_col: str, places: int | None = None
+) -> DataFrame:
+    """Days since the last order (counted from the day after the newest order), order count and value sum; for
+    ``places`` see :func:`ledgerline.functions.money.amount_sum`."""
     per_customer = (
         df.where(F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).alias("customer"))
         .agg(
             F.max(F.col(date_col).cast("date")).alias("last_order"),
             F.count(order_col).alias("frequency"),
-            F.coalesce(F.sum(F.col(value_col).cast("decimal(18,2)")), F.lit(0)).cast("double").alias("monetary"),
+            amount_sum(F.col(value_col), places).alias("monetary"),
         )
     )
     run_date = df.agg(F.date_add(F.max(F.col(date_col).cast("date")), 1)).scalar()
@@ -54,8 +58,10 @@ def segment_name(r: Column, f: Column, m: Column) -> Column:
     )
 
 
-def rfm_segments(df: DataFrame, id_col: str, date_col: str, order_col: str, value_col: str) -> DataFrame:
-    scored = rfm_scores(rfm_measures(df, id_col, date_col, order_col, value_col))
+def rfm_segments(
+    df: DataFrame, id_col: str, date_col: str, order_col: str, value_col: str, places: int | None = None
+) -> DataFrame:
+    scored = rfm_scores(rfm_measures(df, id_col, date_col, order_col, value_col, places))
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return scored.select(
         "*",

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import month_start
+from ledgerline.functions.money import amount_mean
 
 
 def in_order(key: Sequence[str], order: str = "month") -> WindowSpec:
@@ -96,22 +97,21 @@ def positional_split(
 
 
 def monthly_discounts(
-    df: DataFrame, date_col: str, discount_col: str, value_col: str, key: Sequence[str] = ()
+    df: DataFrame,
+    date_col: str,
+    discount_col: str,
+    value_col: str,
+    key: Sequence[str] = (),
+    places: int | None = None,
 ) -> DataFrame:
-    """Mean discount and mean order value per month, rounded half-even to two places.
-
-    The means are exact decimals, so a half does not depend on the order in which the rows were added up.
-    """
-
-    def mean(column: str) -> Column:
-        return F.bround(F.avg(F.col(column).cast("decimal(20,6)")), 2).cast("double")
-
+    """Mean discount and mean order value per month, rounded half-even to two places; for ``places`` see
+    :func:`ledgerline.functions.money.amount_mean`."""
     return (
         df.where(F.col(date_col).isNotNull())
         .groupBy(*key, month_start(F.col(date_col)).alias("month"))
         .agg(
-            mean(discount_col).alias("avg_discount"),
-            mean(value_col).alias("avg_order_value"),
+            F.bround(amount_mean(F.col(discount_col), places), 2).alias("avg_discount"),
+            F.bround(amount_mean(F.col(value_col), places), 2).alias("avg_order_value"),
         )
     )
 

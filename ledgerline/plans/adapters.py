@@ -39,9 +39,11 @@ _ORDERED = "CAST(o_orderdate AS DATE)"
 _ACKNOWLEDGED = "(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 9 - 1 AS INT))"
 _CURRENCY = "CASE o_custkey % 6 WHEN 3 THEN 'CAD' WHEN 4 THEN 'EUR' WHEN 5 THEN 'MXN' ELSE 'USD' END"
 
-# Line items are summed per order before the join, so an order with very many lines is one row by then.
+# Line items are summed per order before the join, so an order with very many lines is one row by then. Money is
+# summed as whole numbers (cents, and hundredths of a cent after the discount), which is exact in any order. Both
+# sides of that join grow with the data, hence the hint; DuckDB reads it as a comment.
 ORDER_BOOK_SQL = f"""
-SELECT
+SELECT /*+ MERGE(line_values) */
   CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE CAST(c_nationkey AS BIGINT) END AS marketinggroup,
   o_custkey % 50 AS orderingdealer,
   o_orderkey * 10 AS orderrequestnumber,
@@ -52,8 +54,8 @@ SELECT
   ' ' || o_orderpriority || '  ' AS deliverymethod,
   c_mktsegment AS seriescode,
   '  M' || CAST(o_custkey % 12 AS STRING) AS modelcode,
-  CAST(gross AS DOUBLE) AS ordergrossvalue,
-  CAST(net AS DOUBLE) AS ordernetvalue,
+  CAST(gross AS DOUBLE) / 100 AS ordergrossvalue,
+  CAST(net AS DOUBLE) / 10000 AS ordernetvalue,
   {_CURRENCY} AS currencycode,
   o_orderkey % 1000 AS workunitnumber,
   o_orderkey % 7 AS workunitrevnbr,
@@ -107,8 +109,8 @@ SELECT
 FROM {{orders}}
 LEFT JOIN (
   SELECT l_orderkey,
-         sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS gross,
-         sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS net,
+         sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS gross,
+         sum(CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l_discount * 100) AS BIGINT))) AS net,
          max(CAST(l_shipdate AS DATE)) AS ship
   FROM {{lineitem}} GROUP BY l_orderkey
 ) AS line_values ON o_orderkey = l_orderkey
@@ -149,7 +151,7 @@ JOIN (
          count(*) AS numofproducts,
          CAST(CASE WHEN max(CAST(o_orderdate AS DATE)) >= DATE '2001-05-01' THEN 1 ELSE 0 END AS BIGINT)
            AS isactivemember,
-         CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS estimatedsalary,
+         CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS estimatedsalary,
          CAST(CASE WHEN max(CAST(o_orderdate AS DATE)) < DATE '2001-02-02' THEN 1 ELSE 0 END AS BIGINT) AS exited
   FROM {orders} GROUP BY o_custkey
 ) AS customer_orders ON c_custkey = o_custkey
@@ -217,6 +219,10 @@ def rule_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, RULES_SQL)
 
 
+def cents(column: str) -> Column:
+    return F.round(F.col(column) * 100).cast("bigint")
+
+
 def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(series, date, value)`` with monthly, quarterly and weekly series.
 
@@ -226,22 +232,22 @@ def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_shipdate").cast("date").alias("day"))
         .agg(
-            F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"),
-            F.count(F.lit(1)).alias("n_rows"),
-            F.sum(F.col("l_tax").cast("decimal(18,2)")).alias("tax"),
+            F.sum(cents("l_quantity")).alias("quantity"),
+            (F.count(F.lit(1)) * 100).alias("n_rows"),
+            F.sum(cents("l_tax")).alias("tax"),
         )
     )
     orders = (
         table(spark, sf_dir, "orders")
         .groupBy(F.col("o_orderdate").cast("date").alias("day"))
-        .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("price"), F.count(F.lit(1)).alias("n_rows"))
+        .agg(F.sum(cents("o_totalprice")).alias("price"), (F.count(F.lit(1)) * 100).alias("n_rows"))
     )
 
     def entry(series: str, unit: str, value: Column) -> Column:
         return F.struct(
             F.lit(series).alias("series"),
             F.date_trunc(unit, "day").cast("date").alias("date"),
-            value.cast("decimal(28,2)").alias("value"),
+            value.alias("value"),
         )
 
     parts = [
@@ -260,7 +266,7 @@ def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ),
     ]
-    return parts[0].unionByName(parts[1]).groupBy("series", "date").agg(F.sum("value").cast("double").alias("value"))
+    return parts[0].unionByName(parts[1]).groupBy("series", "date").agg((F.sum("value") / 100).alias("value"))
 
 
 MACRO_SQL = """

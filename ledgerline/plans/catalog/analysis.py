@@ -36,7 +36,7 @@ _RFM_SCORES = f"""{_RFM_RAW}, scores AS (
 
 
 def _rfm_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rfm.rfm_measures(table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    return rfm.rfm_measures(table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", "o_orderkey", "o_totalprice", places=2)
 
 
 def _long_scores(df: DataFrame) -> DataFrame:
@@ -63,7 +63,7 @@ def rfm_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rfm_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    return _long_scores(rfm.rfm_segments(orders, "o_custkey", "o_orderdate", "o_orderkey", "o_totalprice"))
+    return _long_scores(rfm.rfm_segments(orders, "o_custkey", "o_orderdate", "o_orderkey", "o_totalprice", places=2))
 
 
 # ---------------------------------------------------------------- monthly series
@@ -203,7 +203,7 @@ def _mean_sql(column: str) -> str:
 )
 def monthly_discount_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = dated_orders(spark, sf_dir).withColumnRenamed("Country", "country")
-    return _month_text(series.monthly_discounts(rows, "received", "Discount", "OrderNetValue", ["country"]))
+    return _month_text(series.monthly_discounts(rows, "received", "Discount", "OrderNetValue", ["country"], places=4))
 
 
 _DECOMPOSED = """
@@ -318,7 +318,7 @@ def feature_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     usa = dated_orders(spark, sf_dir).where(F.col("Country") == "Usa")
     monthly = series.decompose(series.monthly_volume(usa, "received", "UniqueId"), "volume")
     lagged = series.positional_split(series.add_lags(monthly, "volume", 3, log=True))
-    discounts = series.monthly_discounts(usa, "received", "Discount", "OrderNetValue")
+    discounts = series.monthly_discounts(usa, "received", "Discount", "OrderNetValue", places=4)
     features = lagged.join(discounts, "month").select(_FEATURES)
     return stats.correlation_matrix(features, _FEATURES).withColumn("r", F.round("r", 6))
 
