@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType
 
-from ledgerline.models.least_squares import dot, moments, residual_sum, solve
+from ledgerline.models.least_squares import dot, moments, solve
 from ledgerline.operators.series import in_order, whole
 from ledgerline.session import cut_lineage
 
@@ -53,7 +53,7 @@ def _with_shocks(df: DataFrame, key: Sequence[str]) -> DataFrame:
     lagged = df.withColumns({n: F.lag("_w", k).over(in_order(key)) for n, k in zip(names, LONG_AR)})
     columns = [F.col(n) for n in names]
     fitted = moments(lagged, key, columns, F.col("_w")).select(
-        *key, solve(F.col("xx"), F.col("xy"), F.lit(list(range(len(names))))).alias("_long")
+        *key, solve(F.lit(list(range(len(names)))))["coefficients"].alias("_long")
     )
     joined = _by_series(lagged, fitted, key, "_long")
     return joined.withColumn("_e", F.col("_w") - dot(F.col("_long"), columns)).drop("_long", *names)
@@ -80,9 +80,9 @@ def _candidates() -> Column:
     out = []
     for p, q, sp, sq in product(range(MAX_P + 1), range(MAX_Q + 1), (0, 1), (0, 1)):
         used = [*range(p), *range(MAX_P, MAX_P + q), *([MAX_P + MAX_Q] * sp), *([MAX_P + MAX_Q + 1] * sq)]
-        orders = [F.lit(v).alias(n) for n, v in zip(("p", "q", "sp", "sq"), (p, q, sp, sq))]
-        out.append(F.struct(*orders, F.array(*[F.lit(u) for u in used]).cast("array<int>").alias("used")))
-    return F.array(*out)
+        listed = f"cast(array({', '.join(map(str, used))}) AS array<int>)"
+        out.append(f"named_struct('p', {p}, 'q', {q}, 'sp', {sp}, 'sq', {sq}, 'used', {listed})")
+    return F.expr(f"array({', '.join(out)})")
 
 
 def _stable(coefficients: Column) -> Column:
@@ -119,12 +119,12 @@ def fit_models(train: DataFrame, value: str, key: Sequence[str]) -> tuple[DataFr
     candidates = (
         shared.where(F.col("n") > len(names) + 2)
         .select("*", F.inline(_candidates()))
-        .withColumn("coefficients", solve(F.col("xx"), F.col("xy"), F.col("used")))
+        .withColumn("_fit", solve(F.col("used")))
+        .select("*", "_fit.*")
         .where(_stable(F.col("coefficients")))
-        .withColumn("_rss", residual_sum(len(names)))
         .withColumn(
             "aic",
-            F.col("n") * F.log(F.greatest(F.col("_rss") / F.col("n"), F.lit(1e-12))) + 2 * (F.size("used") + 1),
+            F.col("n") * F.log(F.greatest(F.col("rss") / F.col("n"), F.lit(1e-12))) + 2 * (F.size("used") + 1),
         )
     )
     orders = ["p", "q", "sp", "sq"]

@@ -15,7 +15,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+
+_SOLUTION = StructType([StructField("coefficients", ArrayType(DoubleType())), StructField("rss", DoubleType())])
 
 
 def moments(df: DataFrame, key: Sequence[str], features: Sequence[Column], label: Column) -> DataFrame:
@@ -26,51 +28,39 @@ def moments(df: DataFrame, key: Sequence[str], features: Sequence[Column], label
     rows = rows.na.drop(subset=[*x, "_y"])
     k = range(len(x))
     # X'X is symmetric: each product is summed once and used on both sides.
-    sums = [F.sum(F.col(x[i]) * F.col(x[j])).alias(f"_xx{i}_{j}") for i in k for j in k if i <= j]
-    sums += [F.sum(F.col(x[i]) * F.col("_y")).alias(f"_xy{i}") for i in k]
-    summed = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_y") * F.col("_y")).alias("yy"), *sums)
-    return summed.select(
-        *key, "n", "yy",
-        F.array(*[F.col(f"_xx{min(i, j)}_{max(i, j)}") for i in k for j in k]).alias("xx"),
-        F.array(*[F.col(f"_xy{i}") for i in k]).alias("xy"),
-    )
+    sums = [f"sum(_x{i} * _x{j}) AS _xx{i}_{j}" for i in k for j in k if i <= j]
+    sums += [f"sum(_x{i} * _y) AS _xy{i}" for i in k]
+    summed = rows.groupBy(*key).agg(F.expr("count(1) AS n"), F.expr("sum(_y * _y) AS yy"), *map(F.expr, sums))
+    square = ", ".join(f"_xx{min(i, j)}_{max(i, j)}" for i in k for j in k)
+    return summed.selectExpr(*key, "n", "yy", f"array({square}) AS xx", f"array({', '.join(f'_xy{i}' for i in k)}) AS xy")
 
 
-def solve(xx: Column | str, xy: Column | str, used: Column | str) -> Column:
-    """Coefficients of the regressors listed in ``used``, zero for the others; minimum norm if singular."""
+def solve(used: Column) -> Column:
+    """``(coefficients, rss)`` from the moments of a group: coefficients of the regressors listed in ``used``, zero
+    for the others, minimum norm if singular; and the residual sum of squares."""
 
     # Defined here so that it travels to the workers by value, whether or not they have this package.
-    @pandas_udf(ArrayType(DoubleType()))
-    def solve_moments(xx: pd.Series, xy: pd.Series, used: pd.Series) -> pd.Series:
-        def one(a, b, pick):
+    @pandas_udf(_SOLUTION)
+    def solve_moments(xx: pd.Series, xy: pd.Series, yy: pd.Series, used: pd.Series) -> pd.DataFrame:
+        def one(a, b, y, pick):
             a, b, pick = np.asarray(a), np.asarray(b), np.asarray(pick, dtype=int)
-            out = np.zeros(len(b))
+            out, rss = np.zeros(len(b)), y
             if len(pick):
                 square = a.reshape(len(b), len(b))[np.ix_(pick, pick)]
-                out[pick] = np.linalg.lstsq(square, b[pick], rcond=None)[0]
-            return out
+                found = np.linalg.lstsq(square, b[pick], rcond=None)[0]
+                out[pick] = found
+                rss = y - 2 * found @ b[pick] + found @ square @ found
+            return out, max(rss, 0.0)
 
-        return pd.Series([one(*row) for row in zip(xx, xy, used)])
+        return pd.DataFrame([one(*row) for row in zip(xx, xy, yy, used)], columns=["coefficients", "rss"])
 
-    return solve_moments(xx, xy, used)
+    return solve_moments("xx", "xy", "yy", used)
 
 
 def dot(coefficients: Column, values: Sequence[Column]) -> Column:
     return reduce(lambda total, pair: total + coefficients[pair[0]] * pair[1], enumerate(values), F.lit(0.0))
 
 
-def residual_sum(n_features: int) -> Column:
-    """Residual sum of squares of ``coefficients`` from the moments alone; never below zero."""
-    b, k = F.col("coefficients"), range(n_features)
-    fitted = dot(b, [F.col("xy")[i] for i in k])
-    quadratic = reduce(
-        lambda total, ij: total + b[ij[0]] * b[ij[1]] * F.col("xx")[ij[0] * n_features + ij[1]],
-        [(i, j) for i in k for j in k],
-        F.lit(0.0),
-    )
-    return F.greatest(F.col("yy") - 2 * fitted + quadratic, F.lit(0.0))
-
-
 def grouped_regression(
     df: DataFrame, key: Sequence[str], features: Sequence[str], label: str, intercept: bool = True
 ) -> DataFrame:
@@ -78,7 +68,7 @@ def grouped_regression(
     names = [*features, *(["intercept"] if intercept else [])]
     columns = [F.col(f) for f in features] + ([F.lit(1.0)] if intercept else [])
     fitted = moments(df, key, columns, F.col(label)).withColumn(
-        "coefficients", solve("xx", "xy", F.lit(list(range(len(names)))))
+        "coefficients", solve(F.lit(list(range(len(names)))))["coefficients"]
     )
     pairs = F.arrays_zip(F.lit(names).alias("feature"), F.col("coefficients").alias("coefficient"))
     return fitted.select(*key, "n", F.inline(pairs).alias("feature", "coefficient"))

@@ -34,7 +34,7 @@ def sequence_numbers(
         keys += [f.name for f in df.schema if f.name.lower() not in taken and not isinstance(f.dataType, T.MapType)]
         work = df.withColumn("_copy", F.monotonically_increasing_id())
         keys.append("_copy")
-    columns = [F.col(quoted(k)) for k in keys]
+    columns = [quoted(k) for k in keys]
     ranged = cut_lineage(
         work.repartitionByRange(*columns)
         .sortWithinPartitions(*columns)
@@ -54,7 +54,7 @@ def sequence_numbers(
         F.broadcast(starts), "_part"  # one row per shuffle partition
     )
     return numbered.select(
-        *[F.col(quoted(c)) for c in df.columns],
+        *[quoted(c) for c in df.columns],
         (F.col("_start") + position + 1).alias(name),
         *([F.col("_total").alias(total)] if total else []),
     )

@@ -22,27 +22,21 @@ def apply_mapping(
     """
     if isinstance(mapping, T.StructType):
         mapping = [(f.name, f.name, f.dataType.simpleString()) for f in mapping]
-    present = {name.lower(): name for name in df.columns}
-    out: list[Column] = []
+    present = {name.lower(): (name, dtype) for name, dtype in df.dtypes}
+    out: list[str] = []
     for source, target, dtype in mapping:
-        name = present.get(source.lower())
-        if name is not None:
-            out.append(F.col(quoted(name)).try_cast(dtype).alias(target))
-        elif allow_missing:
-            out.append(F.lit(None).cast(dtype).alias(target))
-        else:
+        name, held = present.get(source.lower(), (None, None))
+        if name is None and not allow_missing:
             raise ValueError(f"source column {source!r} is missing")
-    return df.select(*out)
+        value = "NULL" if name is None else quoted(name)
+        out.append(f"{value if held == dtype else f'try_cast({value} AS {dtype})'} AS {quoted(target)}")
+    return df.selectExpr(*out)
 
 
 def trim_strings(df: DataFrame) -> DataFrame:
     """Outer spaces removed from every string column, in one projection."""
-    return df.select(
-        *[
-            F.trim(F.col(quoted(f.name))).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(quoted(f.name))
-            for f in df.schema
-        ]
-    )
+    names = [(quoted(f.name), isinstance(f.dataType, T.StringType)) for f in df.schema]
+    return df.selectExpr(*[f"trim({name}) AS {name}" if is_text else name for name, is_text in names])
 
 
 def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -57,7 +51,7 @@ def drop_null(df: DataFrame, how: str | None = None, subset: Sequence[str] | Non
 
 def publish(df: DataFrame, layout: Sequence[tuple[str, str]]) -> DataFrame:
     """Select and rename to a published layout of ``(published name, source name)``."""
-    return df.select(*[F.col(quoted(source)).alias(target) for target, source in layout])
+    return df.selectExpr(*[f"{quoted(source)} AS {quoted(target)}" for target, source in layout])
 
 
 def first_rows(df: DataFrame, n: int, day: Column, order_by: Sequence[str]) -> DataFrame:
