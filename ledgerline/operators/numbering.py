@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.text import quoted
-from ledgerline.session import cut_lineage
+from ledgerline.session import written
 
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
@@ -20,12 +20,13 @@ def sequence_numbers(
     """Row numbers 1..n over the whole frame in ``order_by`` order; ``total`` names a column for n.
 
     The rows are range-partitioned and sorted per partition, the position in the partition is taken from
-    ``monotonically_increasing_id`` and the sizes of the earlier partitions are added. The ranged rows go to a
-    reliable checkpoint, because both the sizes and the numbers must come from the same partitions.
+    ``monotonically_increasing_id`` and the sizes of the earlier partitions are added. The ranged rows are written
+    to the shared folder, because both the sizes and the numbers must come from the same partitions; the sizes
+    then need one column only.
 
     With ``unique`` the order columns identify a row. Otherwise ties are broken by the other columns, and exact
     copies, which no column can tell apart, by their place in the input; so one hot key or one large group of
-    copies is still cut into several ranges.
+    copies is still cut into several ranges. The place is repeatable for rows that come from files.
     """
     keys = list(order_by)
     work = df
@@ -35,10 +36,11 @@ def sequence_numbers(
         work = df.withColumn("_copy", F.monotonically_increasing_id())
         keys.append("_copy")
     columns = [quoted(k) for k in keys]
-    ranged = cut_lineage(
+    ranged = written(
         work.repartitionByRange(*columns)
         .sortWithinPartitions(*columns)
-        .withColumn("_at", F.monotonically_increasing_id())
+        .select(*map(quoted, df.columns), F.monotonically_increasing_id().alias("_at")),
+        "numbering",
     )
     part = F.shiftright("_at", _POSITION_BITS)
     sizes = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))

@@ -62,13 +62,13 @@ def first_rows(df: DataFrame, n: int, day: Column, order_by: Sequence[str]) -> D
     """
     dated = df.withColumn("_day", day.cast("date"))
     per_day = dated.groupBy("_day").agg(F.count(F.lit(1)).alias("_rows"))
-    before = F.coalesce(
-        F.sum("_rows").over(Window.orderBy(F.col("_day").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0),
-    )
-    kept_days = per_day.withColumn("_before", before).where(F.col("_before") < n)
-    # One row per calendar day, so the join side is small; Spark measures it and broadcasts it itself.
-    kept = dated.join(kept_days.select("_day"), dated["_day"].eqNullSafe(kept_days["_day"]), "left_semi")
+    days_in_order = Window.orderBy(F.col("_day").asc_nulls_last())
+    before = F.coalesce(F.sum("_rows").over(days_in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    needed = per_day.withColumn("_before", before).where(F.col("_before") < n)
+    last = needed.agg(
+        F.struct(F.max("_day").alias("day"), F.coalesce(F.bool_or(F.col("_day").isNull()), F.lit(False)).alias("undated"))
+    ).scalar()
+    kept = dated.where((F.col("_day") <= last["day"]) | (F.col("_day").isNull() & last["undated"]))
     return kept.orderBy(F.col("_day").asc_nulls_last(), *order_by).limit(n).drop("_day")
 
 

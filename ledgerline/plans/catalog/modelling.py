@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.functions.text import upload_type
 from ledgerline.models import churn, forecast, least_squares, regression
 from ledgerline.models.forest import read_nodes, score_forest
 from ledgerline.operators import series, stats
@@ -16,8 +17,9 @@ from ledgerline.plans.catalog.analysis import VOLUMES, country_volume, usa_volum
 from ledgerline.plans.catalog.cleaning import published
 from ledgerline.plans.catalog.loading import CHURN_TABLE, LOG
 from ledgerline.schemas import CHURN_FEATURES
-from ledgerline.session import cut_lineage, scratch_path, table
-from ledgerline.sources.files import read_metric_files
+from ledgerline.session import cut_lineage, scratch_path, table, written
+from ledgerline.sources.files import read_csv, read_metric_files, with_file
+from ledgerline.sources.sinks import write_zone
 
 CATALOG = Catalog()
 
@@ -118,7 +120,7 @@ _SCALED = ", ".join(
 @CATALOG.query(f"WITH {CHURN_TABLE} SELECT customerid, {_SCALED} FROM churn")
 def churn_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The eleven encoded and standardised inputs of the classifier."""
-    rows = adapters.churn_table(spark, sf_dir)
+    rows = written(adapters.churn_table(spark, sf_dir), "customers")
     fitted = Pipeline(stages=churn.feature_stages(rows.count())).fit(rows)
     names = ["geo_spain", "geo_germany", "gender", *[c for c in CHURN_FEATURES if c not in ("geography", "gender")]]
     values = fitted.transform(rows).select("customerid", vector_to_array("features").alias("v"))
@@ -154,7 +156,7 @@ def churn_network_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.query()
 def churn_batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model is fitted, saved, loaded and applied to every customer."""
-    customers = cut_lineage(adapters.churn_table(spark, sf_dir))
+    customers = written(adapters.churn_table(spark, sf_dir), "customers")
     train, _ = churn.stable_split(customers, "customerid")
     path = scratch_path(spark, "model")
     churn.fit_logistic(train).write().save(path)
@@ -180,6 +182,17 @@ def seasonal_arima_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _month_text(forecast.seasonal_forecast(country_volume(spark, sf_dir), "volume", ["country"]))
 
 
+@CATALOG.query()
+def forecast_per_training_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The retraining job: every published file has a series and a forecast of its own."""
+    zone = scratch_path(spark, "published")
+    rows = published(spark, sf_dir).select("UniqueId", "OrderReceivedDate", "Country", "file_type")
+    write_zone(rows, zone, "DS1", "csv")
+    made = jobs.JOBS["AremaRetrain"](published=with_file(read_csv(spark, f"{zone}/DS1", rows.schema)))
+    metrics = stats.regression_metrics(made, "actual", "forecast", ["source_file"])
+    return metrics.select(upload_type(F.col("source_file")).alias("upload_type"), "n", "rmse", "mape")
+
+
 @CATALOG.query()
 def forecast_fitted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _month_text(forecast.fitted_values(usa_volume(spark, sf_dir), "volume"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from ledgerline.models import churn, forecast, regression, runs
 from ledgerline.operators import rfm, series, stats
 from ledgerline.plans.ingest_log import newest_log_row
 from ledgerline.schemas import CHURN_TARGET, MACRO_SERIES
-from ledgerline.session import cut_lineage
+from ledgerline.session import cut_lineage, written
 
 # The parameter grids of the retraining jobs.
 FOREST_GRID = {"feature_subset": ["all", "sqrt"], "num_trees": [10, 300, 5000]}
@@ -21,9 +21,11 @@ NETWORK_GRID = {"block_size": [10, 50], "max_iter": [20, 50]}
 HOME_COUNTRY = ("Usa",)
 
 
-def home_volume(published: DataFrame, countries: tuple[str, ...] = HOME_COUNTRY) -> DataFrame:
+def home_volume(
+    published: DataFrame, countries: Sequence[str] = HOME_COUNTRY, key: Sequence[str] = ()
+) -> DataFrame:
     rows = published.withColumn("received", parse_us_date(F.col("OrderReceivedDate")))
-    return series.monthly_volume(rows.where(F.col("Country").isin(*countries)), "received", "UniqueId")
+    return series.monthly_volume(rows.where(F.col("Country").isin(*countries)), "received", "UniqueId", key)
 
 
 def customer_segmentation(published: DataFrame) -> DataFrame:
@@ -35,6 +37,11 @@ def volume_forecast(published: DataFrame) -> DataFrame:
     return forecast.seasonal_forecast(home_volume(published), "volume")
 
 
+def forecast_per_file(published: DataFrame) -> DataFrame:
+    """One forecast per training file; the rows carry their file in ``source_file``."""
+    return forecast.seasonal_forecast(home_volume(published, key=["source_file"]), "volume", ["source_file"])
+
+
 def regression_rows(published: DataFrame, macro: DataFrame, how: str = "last") -> DataFrame:
     factors = series.factor_table(series.macro_rollup(macro, how), MACRO_SERIES)
     return regression.regression_frame(home_volume(published), factors)
@@ -67,13 +74,13 @@ def forest_runs(frame: DataFrame, grid: dict[str, list] | None = None) -> tuple[
 
 
 def churn_classifier(customers: DataFrame) -> DataFrame:
-    """Scores of the held-out customers. The fit passes over the rows many times, so they are cut off first."""
-    train, test = churn.stable_split(cut_lineage(customers), "customerid")
+    """Scores of the held-out customers. The fit passes over the rows many times, so they are written first."""
+    train, test = churn.stable_split(written(customers, "customers"), "customerid")
     return churn.score(churn.fit_network(train), test).select("customerid", CHURN_TARGET, "probability_exit", "predicted")
 
 
 def churn_runs(customers: DataFrame, grid: dict[str, list] | None = None) -> tuple[DataFrame, dict]:
-    train, test = churn.stable_split(cut_lineage(customers), "customerid")
+    train, test = churn.stable_split(written(customers, "customers"), "customerid")
 
     def accuracy(model) -> float:
         return stats.confusion_matrix(churn.score(model, test), CHURN_TARGET, "predicted").first()["accuracy"]
@@ -87,7 +94,9 @@ def churn_runs(customers: DataFrame, grid: dict[str, list] | None = None) -> tup
 JOBS: dict[str, Callable[..., DataFrame]] = {
     "Customer_Segmentation": lambda published, **_: customer_segmentation(published),
     "Arema": lambda published, **_: volume_forecast(published),
-    "AremaRetrain": lambda published, **_: volume_forecast(published),
+    "AremaRetrain": lambda published, **_: (
+        forecast_per_file(published) if "source_file" in published.columns else volume_forecast(published)
+    ),
     "lr": lambda published, macro, **_: volume_regression(published, macro),
     "LinearRetrain": lambda published, macro, **_: forest_runs(cut_lineage(regression_rows(published, macro)))[0],
     "Churn": lambda customers, **_: churn_classifier(customers),

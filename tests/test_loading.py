@@ -126,6 +126,16 @@ def test_metric_files_and_csv_inference(spark, tmp_path):
     assert files.read_parquet_zone(spark, parquet).count() == 2
 
 
+def test_catalog_table_and_guard(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    spark.sql(f"CREATE TABLE default.zone_rows (id bigint) USING parquet LOCATION '{tmp_path / 't'}'")
+    try:
+        rows = files.read_catalog_table(spark, "default", "zone_rows")
+        assert files.has_rows(rows) and not files.has_rows(rows.where("id > 5"))
+    finally:
+        spark.sql("DROP TABLE default.zone_rows")
+
+
 def test_job_of_newest_upload(spark):
     assert jobs.model_of_newest_upload(log_frame(spark)) == "Churn"
     with pytest.raises(ValueError):
