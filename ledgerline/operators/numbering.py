@@ -27,6 +27,9 @@ def sequence_numbers(
     With ``unique`` the order columns identify a row. Otherwise ties are broken by the other columns, and exact
     copies, which no column can tell apart, by their place in the input; so one hot key or one large group of
     copies is still cut into several ranges. The place is repeatable for rows that come from files.
+
+    Choosing the ranges takes a pass of its own over the input from its last shuffle on; put an expensive
+    row-wise input through :func:`ledgerline.session.written` first.
     """
     keys = list(order_by)
     work = df

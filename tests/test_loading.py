@@ -170,5 +170,34 @@ def test_shared_folder_is_read_from_the_session(spark):
     assert session.scratch_path(spark, "x").startswith(named)
 
 
+class FakeSession:
+    """A session of a cluster, or of one machine, without a shared folder."""
+
+    def __init__(self, master, folder=None):
+        self.settings = {"spark.checkpoint.dir": folder} if folder else {}
+        self.conf = self
+        self.sparkContext = self
+        self.master = master
+        self.current = None
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+    def getCheckpointDir(self):
+        return self.current
+
+    def setCheckpointDir(self, folder):
+        self.current = folder
+
+
+def test_a_cluster_needs_a_shared_folder():
+    with pytest.raises(RuntimeError):
+        session.shared_dir(FakeSession("yarn"))
+    named = FakeSession("yarn", "s3a://bucket/shared")
+    assert session.shared_dir(named) == "s3a://bucket/shared" == named.current
+    alone = FakeSession("local[2]")
+    assert session.shared_dir(alone) == alone.current
+
+
 def test_churn_layout():
     assert len(CHURN) == 15
