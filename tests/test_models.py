@@ -6,11 +6,9 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
 
 from ledgerline.models import churn, forecast, least_squares, regression, runs
 from ledgerline.models.forest import Node, read_nodes, score_forest
-from ledgerline.operators import series
 from ledgerline.schemas import CHURN_FEATURES
 
 
