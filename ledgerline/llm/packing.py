@@ -9,39 +9,96 @@ ranks a to b take offset o of sequences s onwards", and each document finds its
 from __future__ import annotations
 
 import bisect
+import os
+import struct
 import zlib
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Memo, Scratch, texts, tokenizer_file
+from ledgerline.llm.common import Scratch, texts, tokenizer_file
 
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
-_SALTS = 256
+_SALTS = 32
 
 
-def _encoder(file: str):
-    """Bytes of the little-endian 32-bit ids of a whole text.
+class WordIds:
+    """The little-endian 32-bit ids of texts, as bytes.
 
-    The tokenizer's normaliser turns white space into one blank and its splitter drops blanks, so no token crosses
-    a blank and words can be encoded one by one and remembered.
+    The tokenizer lower-cases, turns white space into one blank, and splits letters from marks and at blanks, so no
+    token crosses a blank, or a full stop or comma behind a letter. Words can be encoded one by one, without regard
+    to the case of A-Z, and remembered; the words of a batch that are new are encoded together. Two generations of
+    remembered words are kept, each of ``most`` characters at most and a batch.
     """
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(file)
-    memo = Memo(lambda word: np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes())
-    return lambda text: b"".join(map(memo.__getitem__, text.replace("\n", " ").split(" ")))
-
-
-_ENCODERS: dict = {}
-
-
-def _encode(name: str):
+    def __init__(self, file: str, most: int = 6_000_000) -> None:
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already take all cores
+        self.tokenizer, self.most = Tokenizer.from_file(file), most
+        self.known, self.older, self.held = {}, {}, 0
+        probe = "A pr\u00f6be\u00e9, of \u00a0 what.\nit's  for."
+        if b"".join(self.encode([probe])) != _packed(self.tokenizer.encode(probe, add_special_tokens=False).ids):
+            raise ValueError("not a tokenizer that drops blanks and letters' case")
+
+    def _encode_new(self, words: list[str]) -> None:
+        """Lower-case letters alone pass normaliser and splitter as they are, so the model takes them directly."""
+        tokenize, rest = self.tokenizer.model.tokenize, []
+        for word in words:
+            if word.isalpha() and word.islower() and word.lower() == word and is_normalized("NFC", word):
+                plain = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                self.known[word] = _packed([token.id for token in tokenize(plain)])
+            else:
+                rest.append(word)
+        for word, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.known[word] = _packed(found.ids)
+
+    def encode(self, batch: list[str]) -> Iterator[bytes]:
+        split = [_words(text) for text in batch]
+        if self.held > self.most:
+            self.known, self.older, self.held = {}, self.known, 0
+        new = set().union(*split).difference(self.known)
+        again = new & self.older.keys()
+        self.known.update((word, self.older[word]) for word in again)
+        new -= again
+        ended = [word for word in new if word[-1:] in _STOPS and word[-2:-1].isalpha()]
+        stems = new.difference(ended)
+        stems.update(_STOPS, (word[:-1] for word in ended))
+        self._encode_new(list(stems.difference(self.known)))
+        for word in ended:
+            self.known[word] = self.known[word[:-1]] + self.known[word[-1]]
+        self.held += sum(map(len, new)) + sum(map(len, again))
+        look = self.known.__getitem__
+        for listed in split:
+            yield b"".join(map(look, listed))
+
+
+_STOPS = (".", ",")
+# Byte-level letters: a printable Latin-1 byte stands for itself, the others for letters from U+0100 on.
+_OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = dict(zip([b for b in range(256) if b not in _OWN], map(chr, range(256, 512))))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _words(text: str) -> list[str]:
+    if "<|" not in text:  # the tokenizer's special tokens are told by case
+        text = text.encode().lower().decode()
+    return text.replace("\n", " ").split(" ")
+
+
+_ENCODERS: dict[str, WordIds] = {}
+
+
+def _word_ids(name: str) -> WordIds:
     if name not in _ENCODERS:
-        _ENCODERS[name] = _encoder(tokenizer_file(name))
+        _ENCODERS[name] = WordIds(tokenizer_file(name))
     return _ENCODERS[name]
 
 
@@ -49,11 +106,12 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
     """One row per piece: the ids of a text and ``end_id``, cut every ``capacity`` ids. A null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = _encode(tokenizer), np.array([end_id], "<u4").tobytes()
+        encode, end = _word_ids(tokenizer).encode, struct.pack("<I", end_id)
         for batch in batches:
             rows, piece, start, length, crc = [], [], [], [], []
-            for row, text in enumerate(batch.column(1).to_pylist()):
-                ids = memoryview(encode(text or "") + end)
+            encoded = (ids for part in _parts(batch.column(1)) for ids in encode(part))
+            for row, found in enumerate(encoded):
+                ids = memoryview(found + end)
                 for number, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append(row)
@@ -76,12 +134,24 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
     return texts(docs).mapInArrow(run, PIECES.format(id=id_type))
 
 
+def _parts(column: pa.Array, characters: int = 2_000_000) -> Iterator[list[str]]:
+    """A column's texts, null as empty, in lists of about so many characters."""
+    part, held = [], 0
+    for text in column.to_pylist():
+        part.append(text or "")
+        held += len(part[-1])
+        if held > characters:
+            yield part
+            part, held = [], 0
+    yield part
+
+
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
     """Best-fit decreasing over counts: runs ``(length, first rank, documents, first sequence, offset)``.
 
     The bins of a class hold the same lengths and have consecutive numbers. An item goes to the fullest bin it
-    fits; equal items go to the bins of a class one each, which takes or splits the class in one step, so each
-    length adds three classes at most. Runs of a length cover its ranks from 0 without a gap.
+    fits, so equal items fill the bins of a class one after the other; this takes or splits the class in one step,
+    and each length adds three classes at most. Runs of a length cover its ranks from 0 without a gap.
     """
     by_room: dict[int, list[tuple[int, int]]] = {}
     rooms: list[int] = []
@@ -103,22 +173,19 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
                 first, bins = by_room[room].pop()
                 if not by_room[room]:
                     del by_room[room], rooms[at]
-                took = min(bins, left)
-                runs.append((length, rank, took, first, capacity - room))
-                add(room, first + took, bins - took)
-                add(room - length, first, took)
-                rank, left = rank + took, left - took
-                continue
-            each = capacity // length
-            full, rest = divmod(left, each)
-            for bins, items in ((full, each), (1, rest)):
-                if bins and items:
+            else:
+                room, first, bins = capacity, opened, -(-left // (capacity // length))
+                opened += bins
+            each = room // length  # a bin that takes one is the fullest that fits the next
+            full = min(bins, left // each)
+            for some, items in ((full, each), (1, left - full * each if full < bins else 0)):
+                if some and items:
                     for slot in range(items):
-                        runs.append((length, rank, bins, opened, slot * length))
-                        rank += bins
-                    add(capacity - items * length, opened, bins)
-                    opened += bins
-            left = 0
+                        runs.append((length, rank, some, first, capacity - room + slot * length))
+                        rank += some
+                    add(room - items * length, first, some)
+                    first, bins, left = first + some, bins - some, left - some * items
+            add(room, first, bins)
     return runs
 
 
@@ -150,7 +217,7 @@ def pack(
     """Every piece of every document with its place: ``doc_id, piece, start, length, ids_crc32, sequence_id,
     offset``.
 
-    Pieces of one length are ranked within 256 salts and the salts' counts are added up, so a length that most
+    Pieces of one length are ranked within 32 salts and the salts' counts are added up, so a length that most
     documents share is ranked by many tasks. An empty or null text is the end id alone; an empty table gives no
     rows; rows with equal ids are packed each on their own.
     """
@@ -167,7 +234,7 @@ def pack(
     within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
     ranked = (
         cut.withColumn("place", F.row_number().over(within))
-        .join(F.broadcast(starts), ["length", "salt"])  # at most capacity * 256 rows of numbers
+        .join(F.broadcast(starts), ["length", "salt"])  # at most capacity * 32 rows of numbers
         .withColumn("rank", (F.col("before") + F.col("place") - 1).cast("long"))
     )
     return _placed(ranked, runs)
