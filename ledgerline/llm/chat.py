@@ -132,7 +132,8 @@ def formatted_turn(role: str, text: str) -> tuple[str, int, int]:
 
 def read_turn(turn: str) -> tuple[str, str]:
     role, _, rest = turn[len(START) :].partition(MIDDLE)
-    return unescape(role.replace("\\\x1f", "\\\n")), unescape(rest[: len(rest) - len(END)])
+    role = _ESCAPED.sub(lambda m: "\n" if m[1] == "\x1f" else m[1], role)
+    return role, unescape(rest[: len(rest) - len(END)])
 
 
 def canonical_turns(records: DataFrame, id_col: str, order_col: str, json_col: str) -> DataFrame:
