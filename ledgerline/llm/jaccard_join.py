@@ -10,7 +10,9 @@ candidates. Where a unit has such a subset, both of its segments are indexed tog
 its one-deletion neighbourhood, which meets every partner with at most one difference in the unit. All partners
 share the costly subset, so both sides choose alike and no link is lost.
 
-Candidates are verified on the whole texts. Copies of a set are one class throughout. Only components are wanted, so
+Each set also has a parity sketch: one bit per bucket of hashes, flipped by each n-gram in it. Two sketches differ in
+no more bits than the sets differ in n-grams, so a pair whose sketches differ in more than H bits is dropped without
+loss. What is left is verified on the whole texts. Copies of a set are one class throughout. Only components are wanted, so
 a group of candidates is first compared with one of its members; only pairs of still separate components follow.
 """
 
@@ -29,7 +31,7 @@ from ledgerline.llm.components import components
 
 _U = np.uint64
 _STEP, _ONE, _TWO = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
-FREQUENT = 40  # of 64 marks set: about 63 sets or more share a subset
+FREQUENT = 16  # of 64 marks set: about 18 sets or more share a subset
 SMALL_GROUP = 64
 PIVOTS = 32
 
@@ -136,6 +138,23 @@ def neighbourhoods(found: np.ndarray, bands: Bands, costly: np.ndarray) -> np.nd
     return np.unique(np.concatenate(out)) if out else np.empty(0, _U)
 
 
+def sketch(found: np.ndarray, bands: Bands) -> bytes:
+    """Parities of a set's n-grams over a power of two of buckets, some four times as many as differences allowed."""
+    allowed = bands.differences(found.size, found.size * 100 // bands.percent)
+    bits = 1 << min(14, max(7, (4 * allowed).bit_length()))
+    at = ((found >> _U(7)) & _U(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def sketch_distance(one: bytes, other: bytes) -> int:
+    """Bits in which two sketches differ; the longer one is folded to the shorter one's buckets."""
+    x, y = np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)
+    while x.size != y.size:
+        x, y = (x, y) if x.size > y.size else (y, x)
+        x = x[: x.size // 2] ^ x[x.size // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _signed(values: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(values).view(np.int64)
 
@@ -147,7 +166,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per document: a row number, its set's size and 128-bit digest, and its subsets."""
+    """Per document: a row number, its set's size, 128-bit digest, subsets and sketch."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,37 +188,76 @@ def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                     pa.array([s.size for s in found], pa.int64()),
                     *[pa.array(_signed(h)) for h in halves],
                     _lists([subsets(s, bands) for s in found]),
+                    pa.array([sketch(s, bands) for s in found], pa.binary()),
                 ],
-                ["doc_id", "text_key", "row", "n", "d1", "d2", "subsets"],
+                ["doc_id", "text_key", "row", "n", "d1", "d2", "subsets", "sketch"],
             )
             at += len(found)
 
     narrow = texts(docs).select("doc_id", F.encode("text", "utf-8").alias("text"), text_key(F.col("text")).alias("text_key"))
-    schema = f"doc_id {id_type}, text_key long, row long, n long, d1 long, d2 long, subsets array<long>"
+    schema = f"doc_id {id_type}, text_key long, row long, n long, d1 long, d2 long, subsets array<long>, sketch binary"
     return narrow.mapInArrow(run, schema)
 
 
-def _links(pairs: DataFrame, held: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar enough, decided on the whole texts."""
-    one = held.select(F.col("row").alias("b"), F.col("text").alias("text_b"), F.col("n").alias("n_b"))
-    other = held.select(F.col("row").alias("a"), F.col("text").alias("text_a"), F.col("n").alias("n_a"))
-    both = pairs.join(one, "b").join(other, "a")
-    both = both.filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, last, mine = _word_memo(), None, None
-        for batch in batches:
-            good = []
-            columns = [batch.column(k).to_pylist() for k in range(4)]
-            for a, _, text_a, text_b in zip(*columns):
-                if last != a:
-                    last, mine = a, shingle_set(words(text_a), size, memo)
-                theirs = shingle_set(words(text_b), size, memo)
-                common = np.intersect1d(mine, theirs, assume_unique=True).size
-                good.append(100 * common >= percent * (mine.size + theirs.size - common))
-            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
-
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+class Verifier:
+    """Decides which candidate pairs ``a, b`` of rows are linked."""
+
+    def __init__(self, docs: DataFrame, sets: DataFrame, size: int, percent: int, scratch: Scratch) -> None:
+        self.sets, self.size, self.percent, self.scratch = sets, size, percent, scratch
+        self.docs = texts(docs).select(
+            F.col("doc_id").alias("_id"), F.encode("text", "utf-8").alias("text"), text_key(F.col("text")).alias("_key")
+        )
+
+    def whole(self, rows: DataFrame) -> DataFrame:
+        """``row, text`` of the rows asked for."""
+        asked = rows.join(self.sets.select("row", "doc_id", "text_key"), "row")
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("text_key"))
+        return self.docs.join(asked, same).select("row", "text").dropDuplicates(["row"])
+
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose sizes and sketches allow a link."""
+        sides = [
+            self.sets.select(F.col("row").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+            for x in ("b", "a")
+        ]
+        both = pairs.join(sides[0], "b").join(sides[1], "a")
+        both = both.filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent)
+        bands = Bands(self.percent)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                good = [
+                    sketch_distance(x, y) <= bands.differences(n, m)
+                    for n, m, x, y in zip(*(batch.column(k).to_pylist() for k in range(2, 6)))
+                ]
+                yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+        return both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        near = self.scratch.table(self.near(pairs))
+        if near.isEmpty():
+            return near
+        held = self.scratch.table(self.whole(near.select(F.explode(F.array("a", "b")).alias("row")).distinct()))
+        one = held.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
+        both = near.join(one, "b").join(held.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
+        size, percent = self.size, self.percent
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            memo, last, mine = _word_memo(), None, None
+            for batch in batches:
+                good = []
+                for a, _, text_a, text_b in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                    if last != a:
+                        last, mine = a, shingle_set(words(text_a), size, memo)
+                    theirs = shingle_set(words(text_b), size, memo)
+                    common = np.intersect1d(mine, theirs, assume_unique=True).size
+                    good.append(100 * common >= percent * (mine.size + theirs.size - common))
+                yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+        found = self.scratch.table(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"))
+        self.scratch.drop(held)
+        return found
 
 
 def _with_roots(rows: DataFrame, node: str, labels: DataFrame, name: str) -> DataFrame:
@@ -224,7 +282,7 @@ def _joined(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.table(known.unionByName(merged.join(labels, "node", "left_anti")))
 
 
-def _resolved(groups: DataFrame, labels: DataFrame, held: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
+def _resolved(groups: DataFrame, labels: DataFrame, verifier: Verifier, scratch: Scratch) -> DataFrame:
     """Labels once every pair of a group's members is known to be in one component or not similar.
 
     Groups of up to ``SMALL_GROUP`` members are done in one round. Of a larger group about ``PIVOTS`` members are
@@ -242,7 +300,7 @@ def _resolved(groups: DataFrame, labels: DataFrame, held: DataFrame, size: int,
         right = marked.select("g", F.col("row").alias("b"), F.col("root").alias("root_b"), "pivot")
         pairs = left.join(right, "g").filter("root_a <> root_b AND (a < b OR NOT pivot)")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = scratch.table(_links(pairs, held, size, percent))
+        links = verifier.links(pairs)
         if not links.isEmpty():
             labels = _joined(labels, links, scratch)
         groups = scratch.table(marked.filter("NOT pivot").select("g", "row"))
@@ -282,16 +340,13 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     groups = scratch.table(entries.join(shared, "g"))
     stars = groups.filter("row <> pivot").select(F.col("pivot").alias("a"), F.col("row").alias("b")).distinct()
     stars = scratch.table(stars)
-    asked = stars.select(F.col("a").alias("row")).unionByName(stars.select(F.col("b").alias("row"))).distinct()
-    asked = asked.join(sets.select("row", "doc_id", "text_key", "n"), "row").withColumnRenamed("doc_id", "_id")
-    whole = texts(docs).select("doc_id", F.encode("text", "utf-8").alias("text"), text_key(F.col("text")).alias("_key"))
-    held = whole.join(asked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("text_key")))
-    held = scratch.table(held.select("row", "n", "text").dropDuplicates(["row"]))
-    labels = scratch.table(components(_links(stars, held, size, percent), "a", "b", scratch))
+    verifier = Verifier(docs, sets, size, percent, scratch)
+    labels = scratch.table(components(verifier.links(stars), "a", "b", scratch))
     few = groups.filter("NOT costly AND row <> pivot").select("g", "row")
-    labels = _resolved(few, labels, held, size, percent, scratch)
+    labels = _resolved(few, labels, verifier, scratch)
     costly = _mixed(groups.filter("costly").select("g", "row"), labels)
-    costly = costly.groupBy("row").agg(F.collect_set("g").alias("costly")).join(held, "row")
+    costly = scratch.table(costly.groupBy("row").agg(F.collect_set("g").alias("costly")))
+    costly = costly.join(verifier.whole(costly.select("row")), "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, memo = Bands(percent), _word_memo()
@@ -301,7 +356,7 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(_signed(found)), pa.array(np.full(found.size, row))], ["g", "row"])
 
     wide = scratch.table(costly.select("row", "text", "costly").mapInArrow(run, "g long, row long"))
-    labels = _resolved(wide, labels, held, size, percent, scratch)
+    labels = _resolved(wide, labels, verifier, scratch)
 
     members = sets.select("doc_id", "text_key", "row", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")
     members = _with_roots(members.withColumn("class", F.coalesce("class", "row")), "class", labels, "root")
