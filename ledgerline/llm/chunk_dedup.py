@@ -133,7 +133,8 @@ def repeated_spans(docs: DataFrame, min_words: int = 20) -> DataFrame:
         .select("digest", "first")
     )
     found = chunked.select("row", F.posexplode("digests").alias("pos", "digest")).join(shared, "digest")
-    found = found.groupBy("row").agg(F.collect_list(F.struct("pos", "first")).alias("elsewhere"))
+    found = scratch.table(found.groupBy("row").agg(F.collect_list(F.struct("pos", "first")).alias("elsewhere")))
+    scratch.drop(shared)
     own = F.exists("again", lambda x: x)
     marked = chunked.select("row", "doc_id", "text_key", "chars", "words", "again", own.alias("own"))
     marked = marked.join(found, "row", "left").filter("own OR elsewhere IS NOT NULL").select(
@@ -173,7 +174,9 @@ def repeated_spans(docs: DataFrame, min_words: int = 20) -> DataFrame:
 
     spans = "array<struct<start: long, length: long>>"
     schema = f"doc_id {id_type}, text_key long, kept {spans}, cut {spans}, first_docs array<{id_type}>"
-    return marked.mapInArrow(run, schema)
+    spans = scratch.table(marked.mapInArrow(run, schema))
+    scratch.drop(chunked, found)
+    return spans
 
 
 def _spanned(docs: DataFrame, min_words: int) -> DataFrame:
