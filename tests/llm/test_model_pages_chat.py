@@ -160,8 +160,7 @@ def test_turns_read_back():
         for text in [*HOSTILE, PASSAGE]:
             turn, start, length = chat.formatted_turn(role, text)
             assert chat.read_turn(turn) == (role, text) and chat.unescape(turn[start : start + length]) == text
-            inner = chat.escape(text) + chat.escape(role)
-            assert not any(c in inner for c in chat.CONTROLS)
+            assert not any(c in chat.escape(part) for c in chat.CONTROLS for part in (text, role))
 
 
 def test_conversations(spark):
