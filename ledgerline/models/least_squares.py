@@ -64,11 +64,49 @@ def dot(coefficients: Column, values: Sequence[Column]) -> Column:
 def grouped_regression(
     df: DataFrame, key: Sequence[str], features: Sequence[str], label: str, intercept: bool = True
 ) -> DataFrame:
-    """``(key, feature, coefficient, n)`` of an ordinary regression per group."""
+    """``(key, n, feature, coefficient)`` of an ordinary regression per group; null coefficients where the group's
+    features are linearly dependent, so that there is no single answer.
+
+    With an intercept the moments are taken about the group's means, in Spark's one-pass form, and scaled: sums of raw
+    products would lose all digits when means are large beside deviations.
+    """
     names = [*features, *(["intercept"] if intercept else [])]
-    columns = [F.col(f) for f in features] + ([F.lit(1.0)] if intercept else [])
-    fitted = moments(df, key, columns, F.col(label)).withColumn(
-        "coefficients", solve(F.lit(list(range(len(names)))))["coefficients"]
-    )
+    if intercept:
+        fitted = _centred(df, key, features, label).withColumn("coefficients", _solve_centred("mean", "cov"))
+    else:
+        columns = [F.col(f) for f in features]
+        fitted = moments(df, key, columns, F.col(label)).withColumn(
+            "coefficients", solve(F.lit(list(range(len(names)))))["coefficients"]
+        )
     pairs = F.arrays_zip(F.lit(names).alias("feature"), F.col("coefficients").alias("coefficient"))
     return fitted.select(*key, "n", F.inline(pairs).alias("feature", "coefficient"))
+
+
+def _centred(df: DataFrame, key: Sequence[str], features: Sequence[str], label: str) -> DataFrame:
+    """Per group: ``n``, the means and the row-major population covariances of the features and the label."""
+    columns = [F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate([*features, label])]
+    rows = df.select(*key, *columns).na.drop(subset=[f"_v{i}" for i in range(len(columns))])
+    k = range(len(columns))
+    aggregates = [F.avg(f"_v{i}").alias(f"_m{i}") for i in k]
+    aggregates += [F.covar_pop(f"_v{i}", f"_v{j}").alias(f"_c{i}_{j}") for i in k for j in k if i <= j]
+    summed = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), *aggregates)
+    square = [F.col(f"_c{min(i, j)}_{max(i, j)}") for i in k for j in k]
+    return summed.select(*key, "n", F.array(*[f"_m{i}" for i in k]).alias("mean"), F.array(*square).alias("cov"))
+
+
+@pandas_udf(ArrayType(DoubleType()))
+def _solve_centred(mean: pd.Series, cov: pd.Series) -> pd.Series:
+    def one(means, moments_):
+        means = np.asarray(means, float)
+        k = len(means) - 1
+        square = np.asarray(moments_, float).reshape(k + 1, k + 1)
+        scale = np.sqrt(np.diag(square))[:k]
+        if not k or (scale == 0).any():
+            return [None] * (k + 1) if k else [float(means[0])]
+        correlated = square[:k, :k] / np.outer(scale, scale)
+        if np.linalg.matrix_rank(correlated, tol=1e-10) < k:
+            return [None] * (k + 1)
+        found = np.linalg.solve(correlated, square[:k, k] / scale) / scale
+        return [*found.tolist(), float(means[k] - found @ means[:k])]
+
+    return pd.Series([one(*row) for row in zip(mean, cov)])

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -31,12 +33,23 @@ def varying(train: DataFrame, features: Sequence[str]) -> list[str]:
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+
+
+def _complete(frame: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The rows that a fit can use."""
+    return frame.na.drop(subset=[*features, LABEL])
+
+
+def predictions(model: PipelineModel, frame: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Every row with its ``prediction``, null where a feature is missing."""
+    known = reduce(and_, [F.col(f).isNotNull() for f in features], F.lit(True))
+    return model.transform(frame).withColumn("prediction", F.when(known, F.col("prediction")))
 
 
 def fit_linear(frame: DataFrame, features: Sequence[str], intercept: bool = True) -> PipelineModel:
     estimator = LinearRegression(labelCol=LABEL, solver="normal", fitIntercept=intercept)
-    return Pipeline(stages=[_assembler(features), estimator]).fit(frame)
+    return Pipeline(stages=[_assembler(features), estimator]).fit(_complete(frame, features))
 
 
 def fit_forest(
@@ -56,7 +69,7 @@ def fit_forest(
         maxDepth=max_depth,
         seed=seed,
     )
-    return Pipeline(stages=[_assembler(features), estimator]).fit(frame)
+    return Pipeline(stages=[_assembler(features), estimator]).fit(_complete(frame, features))
 
 
 def coefficient_table(frame: DataFrame, features: Sequence[str]) -> DataFrame:

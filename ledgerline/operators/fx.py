@@ -16,6 +16,9 @@ def rate_code(currency: Column, overrides: Mapping[str, str] | None = None) -> C
     return out
 
 
+MOST_CURRENCIES = 1_000  # ISO 4217 has some 300 codes, historic ones included
+
+
 def latest_rates(rates: DataFrame) -> DataFrame:
     return rates.groupBy("currency").agg(F.max_by("usd_rate", "rate_date").alias("usd_rate"))
 
@@ -56,6 +59,9 @@ def to_usd(
     work = df.withColumn("_code", rate_code(F.col(currency_col), overrides))
     if date_col is None:
         lookup = latest_rates(rates).withColumnRenamed("currency", "_code").withColumnRenamed("usd_rate", "_rate")
+        lookup = lookup.where(F.col("_code") != "USD")  # needs no rate
+        if lookup.limit(MOST_CURRENCIES + 1).count() <= MOST_CURRENCIES:
+            lookup = F.broadcast(lookup)  # a row per currency: no shuffle on codes, of which one may hold most rows
         on = ["_code"]
     else:
         # Days after the newest rate use the newest day of the table.

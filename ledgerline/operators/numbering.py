@@ -77,7 +77,8 @@ def quartile(rank: Column, n: Column) -> Column:
 def measure_quartiles(df: DataFrame, id_col: str, measures: Sequence[str]) -> DataFrame:
     """``<measure>_quartile`` for each measure; ties are ordered by the id, which must be unique.
 
-    All measures are ranked in one range shuffle of narrow ``(measure, value, id)`` rows.
+    All measures are ranked in one range shuffle of narrow ``(measure, value, id)`` rows. A missing value has no
+    quartile, and the others are ranked and counted without it.
     """
     entries = F.explode(
         F.array(
@@ -88,10 +89,13 @@ def measure_quartiles(df: DataFrame, id_col: str, measures: Sequence[str]) -> Da
         )
     )
     long = df.select(F.col(id_col), entries.alias("e")).select(id_col, "e.measure", "e.value")
-    numbered = sequence_numbers(long, ["measure", "value", id_col], "_row", unique=True, total="_entries")
-    # Every id has one entry per measure, so a measure's block starts after measure * n rows.
-    n = F.floor(F.col("_entries") / len(measures))
-    bucket = quartile(F.col("_row") - F.col("measure") * n, n)
+    long = long.withColumn("unknown", F.col("value").isNull())
+    numbered = sequence_numbers(long, ["measure", "unknown", "value", id_col], "_row", unique=True, total="_entries")
+    # Every id has one entry per measure, so a measure's block starts after measure * ids rows.
+    ids = F.floor(F.col("_entries") / len(measures))
+    counts = long.groupBy("measure").agg(F.count("value").alias("_known"))
+    numbered = numbered.join(F.broadcast(counts), "measure")  # one row per measure
+    bucket = F.when(~F.col("unknown"), quartile(F.col("_row") - F.col("measure") * ids, F.col("_known")))
     return numbered.groupBy(id_col).agg(
         *[F.max(F.when(F.col("measure") == i, F.col("value"))).alias(m) for i, m in enumerate(measures)],
         *[F.max(F.when(F.col("measure") == i, bucket)).alias(f"{m}_quartile") for i, m in enumerate(measures)],

@@ -30,7 +30,8 @@ def rfm_measures(
 
 
 def rfm_scores(measures: DataFrame) -> DataFrame:
-    """Scores 1 (best) to 4: the most recent, most frequent and highest spending quarter scores 1."""
+    """Scores 1 (best) to 4: the most recent, most frequent and highest spending quarter scores 1. A customer without
+    a known date has no score for it."""
     ranked = measure_quartiles(measures, "customer", ["recency", "frequency", "monetary"])
     return ranked.select(
         "customer",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import parse_us_date
 from ledgerline.operators import fx, rfm, series, stats
-from ledgerline.plans import adapters
+from ledgerline.plans import adapters, jobs
 from ledgerline.plans.catalog import Catalog
 from ledgerline.plans.catalog.cleaning import BOOK, PUBLISHED, published
 from ledgerline.schemas import MACRO_SERIES
@@ -66,9 +66,45 @@ def rfm_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _long_scores(rfm.rfm_segments(orders, "o_custkey", "o_orderdate", "o_orderkey", "o_totalprice", places=2))
 
 
+_UNKNOWN = """
+odd AS (SELECT CASE WHEN o_custkey % 13 <> 0 THEN o_custkey END AS customer, o_orderkey,
+               CASE WHEN o_custkey % 7 <> 0 THEN CAST(o_orderdate AS DATE) END AS day,
+               CASE WHEN o_custkey % 11 <> 0 THEN o_totalprice END AS price FROM orders),
+raw AS (SELECT customer, CAST((SELECT max(day) + 1 FROM odd) - max(day) AS BIGINT) AS recency, count(o_orderkey) AS frequency,
+               coalesce(CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE), 0) AS monetary
+        FROM odd WHERE customer IS NOT NULL GROUP BY 1)"""
+_KNOWN_QUARTILE = (
+    "CASE WHEN {m} IS NOT NULL THEN CAST(greatest(1, ceil(4.0 * (row_number() OVER (PARTITION BY {m} IS NULL ORDER BY {m}, "
+    "customer) - 1) / (count({m}) OVER () - 1))) AS BIGINT) END"
+)
+
+
+@CATALOG.query(
+    f"""WITH {_UNKNOWN}, scores AS (SELECT *, {_KNOWN_QUARTILE.format(m='recency')} AS r_score,
+      5 - {_KNOWN_QUARTILE.format(m='frequency')} AS f_score, 5 - {_KNOWN_QUARTILE.format(m='monetary')} AS m_score FROM raw)
+    SELECT * FROM scores"""
+)
+def rfm_with_unknown_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers without a readable date have no recency score, and the other customers' quartiles do not count
+    them; unknown values add nothing to a sum; orders without a customer belong to nobody."""
+    key = F.col("o_custkey")
+    odd = table(spark, sf_dir, "orders").select(
+        F.when(key % 13 != 0, key).alias("customer"),
+        "o_orderkey",
+        F.when(key % 7 != 0, F.col("o_orderdate")).alias("day"),
+        F.when(key % 11 != 0, F.col("o_totalprice")).alias("price"),
+    )
+    return _long_scores(rfm.rfm_scores(rfm.rfm_measures(odd, "customer", "day", "o_orderkey", "price", places=2)))
+
+
 # ---------------------------------------------------------------- monthly series
 
 DATED = f"{PUBLISHED}, dated AS (SELECT *, CAST(strptime(OrderReceivedDate, '%m/%d/%Y') AS DATE) AS received FROM published)"
+# The regressions of the reference jobs explain orders in three currencies only; forecasts count all of them.
+REGRESSION_VOLUME = (
+    f"{DATED}, volume AS (SELECT CAST(date_trunc('month', received) AS DATE) AS month, count(UniqueId) AS volume "
+    "FROM dated WHERE Country = 'Usa' AND CurrencyCode IN ('USD', 'CAD', 'EUR') GROUP BY 1)"
+)
 VOLUME = (
     f"{DATED}, volume AS (SELECT CAST(date_trunc('month', received) AS DATE) AS month, count(UniqueId) AS volume "
     "FROM dated WHERE Country = 'Usa' GROUP BY 1)"
@@ -97,6 +133,10 @@ def usa_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.monthly_volume(usa, "received", "UniqueId")
 
 
+def regression_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.regression_volume(published(spark, sf_dir))
+
+
 def country_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.monthly_volume(dated_orders(spark, sf_dir), "received", "UniqueId", ["Country"]).withColumnRenamed(
         "Country", "country"
@@ -115,6 +155,19 @@ def monthly_volume_usa(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _month_text(usa_volume(spark, sf_dir))
 
 
+@CATALOG.query(
+    f"{DATED}, usa AS (SELECT CAST(date_trunc('month', received) AS DATE) AS month, UniqueId, CurrencyCode FROM dated "
+    "WHERE Country = 'Usa') SELECT CAST(month AS VARCHAR) AS month, count(UniqueId) AS forecast_volume, "
+    "nullif(count(UniqueId) FILTER (CurrencyCode IN ('USD', 'CAD', 'EUR')), 0) AS regression_volume FROM usa GROUP BY month"
+)
+def forecast_and_regression_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts count all orders of a month, regressions those in three currencies."""
+    both = usa_volume(spark, sf_dir).withColumnRenamed("volume", "forecast_volume").join(
+        regression_volume(spark, sf_dir).withColumnRenamed("volume", "regression_volume"), "month", "left"
+    )
+    return _month_text(both)
+
+
 @CATALOG.query(f"{VOLUMES} SELECT country, {_MONTH}, volume FROM volume")
 def monthly_volume_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _month_text(country_volume(spark, sf_dir))
@@ -158,11 +211,11 @@ def factor_outer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def volume_and_factors(spark: SparkSession, sf_dir: str, how: str = "last") -> DataFrame:
     factors = series.factor_table(series.macro_rollup(adapters.macro(spark, sf_dir), how), MACRO_SERIES)
-    return usa_volume(spark, sf_dir).join(factors, "month", "left")
+    return regression_volume(spark, sf_dir).join(factors, "month", "left")
 
 
 @CATALOG.query(
-    f"{VOLUME}, {FACTORS.format(how='last')} SELECT CAST(v.month AS VARCHAR) AS month, volume, {', '.join(MACRO_SERIES)} "
+    f"{REGRESSION_VOLUME}, {FACTORS.format(how='last')} SELECT CAST(v.month AS VARCHAR) AS month, volume, {', '.join(MACRO_SERIES)} "
     "FROM volume v LEFT JOIN factors f ON v.month = f.month"
 )
 def volume_with_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,7 +358,7 @@ _FEATURES = [
 
 @CATALOG.query(
     f"{DATED}, volume AS (SELECT 1 AS country, CAST(date_trunc('month', received) AS DATE) AS month, count(UniqueId) AS volume "
-    f"FROM dated WHERE Country = 'Usa' GROUP BY 2), {_DECOMPOSED}, "
+    f"FROM dated WHERE Country = 'Usa' AND CurrencyCode IN ('USD', 'CAD', 'EUR') GROUP BY 2), {_DECOMPOSED}, "
     f"lagged AS (SELECT month, volume, row_number() OVER (ORDER BY month) AS pos, {_LAGS} FROM volume), "
     f"discounts AS (SELECT CAST(date_trunc('month', received) AS DATE) AS month, {_mean_sql('Discount')} AS avg_discount, "
     f"{_mean_sql('OrderNetValue')} AS avg_order_value FROM dated WHERE Country = 'Usa' GROUP BY 1), "
@@ -316,7 +369,7 @@ _FEATURES = [
 def feature_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Volume, log lags, trend, seasonality and discount statistics of the national series."""
     usa = dated_orders(spark, sf_dir).where(F.col("Country") == "Usa")
-    monthly = series.decompose(series.monthly_volume(usa, "received", "UniqueId"), "volume")
+    monthly = series.decompose(regression_volume(spark, sf_dir), "volume")
     lagged = series.positional_split(series.add_lags(monthly, "volume", 3, log=True))
     discounts = series.monthly_discounts(usa, "received", "Discount", "OrderNetValue", places=4)
     features = lagged.join(discounts, "month").select(_FEATURES)

@@ -14,7 +14,7 @@ from ledgerline.plans.catalog import Catalog
 from ledgerline.plans.catalog.cleaning import PUBLISHED, TRIMMED, typed_order_book
 from ledgerline.plans.ingest_log import stamp_log, write_log_version
 from ledgerline.schemas import CHURN, ORDER_BOOK_RAW
-from ledgerline.session import scratch_path, table
+from ledgerline.session import scratch_path, table, written
 from ledgerline.sources.files import has_rows, latest_file, list_files, read_csv, read_parquet_zone, read_zone
 from ledgerline.sources.files import with_file
 from ledgerline.sources.sinks import write_zone
@@ -190,9 +190,10 @@ def incremental_batch_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _published_zone(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    """Published rows as CSV; the retraining files are written last."""
+    """Published rows as CSV; the retraining files are written last. The book is computed once."""
     zone = scratch_path(spark, "published")
     rows = published_rows(typed_order_book(spark, sf_dir)).select("UniqueId", "OrderReceivedDate", "Country", "file_type")
+    rows = written(rows, "book")
     retraining = F.col("file_type") == "retraining"
     write_zone(rows.where(~retraining), zone, "DS1", "csv")
     write_zone(rows.where(retraining), zone, "DS1", "csv")
@@ -213,10 +214,13 @@ def published_files_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_file.join(files, "path").groupBy("upload_type").agg(F.sum("orders").alias("orders"))
 
 
-@CATALOG.query()
+@CATALOG.query(f"{TRIMMED} SELECT 'Retraining' AS upload_type, count(*) AS orders FROM book WHERE file_type = 'retraining'")
 def latest_published_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    zone, _ = _published_zone(spark, sf_dir)
-    return latest_file(list_files(spark, zone)).select("upload_type", "file_name")
+    """Class of the newest file, and the orders of its class."""
+    zone, rows = _published_zone(spark, sf_dir)
+    newest = latest_file(list_files(spark, zone)).select("upload_type")
+    classes = read_csv(spark, f"{zone}/DS1", rows.schema).groupBy(F.initcap("file_type").alias("upload_type"))
+    return classes.agg(F.count(F.lit(1)).alias("orders")).join(newest, "upload_type").select("upload_type", "orders")
 
 
 @CATALOG.query(

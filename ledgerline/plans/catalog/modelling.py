@@ -56,6 +56,22 @@ def volume_regression_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitted.withColumn("coefficient", F.round("coefficient", 6))
 
 
+@CATALOG.query(
+    "WITH v AS (SELECT o_orderpriority AS priority, o_totalprice + 1e8 AS x, 3 * o_totalprice + o_custkey AS y FROM orders) "
+    "SELECT priority, count(*) AS n, 'x' AS feature, round(regr_slope(y, x), 6) AS coefficient FROM v GROUP BY 1 UNION ALL "
+    "SELECT priority, count(*), 'intercept', round(regr_intercept(y, x) / 1e8, 6) FROM v GROUP BY 1"
+)
+def money_regression_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A regressor whose mean is large beside its spread; the intercept in hundreds of millions."""
+    price = F.col("o_totalprice")
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("priority"), (price + 1e8).alias("x"), (3 * price + F.col("o_custkey")).alias("y")
+    )
+    fitted = least_squares.grouped_regression(rows, ["priority"], ["x"], "y")
+    scaled = F.when(F.col("feature") == "intercept", F.col("coefficient") / 1e8).otherwise(F.col("coefficient"))
+    return fitted.withColumn("coefficient", F.round(scaled, 6))
+
+
 @CATALOG.query()
 def volume_linear_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _month_text(jobs.linear_predictions(_frame(spark, sf_dir)))
@@ -121,7 +137,7 @@ _SCALED = ", ".join(
 def churn_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The eleven encoded and standardised inputs of the classifier."""
     rows = written(adapters.churn_table(spark, sf_dir), "customers")
-    fitted = Pipeline(stages=churn.feature_stages(rows.count())).fit(rows)
+    fitted = Pipeline(stages=churn.feature_stages(rows)).fit(rows)
     names = ["geo_spain", "geo_germany", "gender", *[c for c in CHURN_FEATURES if c not in ("geography", "gender")]]
     values = fitted.transform(rows).select("customerid", vector_to_array("features").alias("v"))
     return values.select("customerid", *[F.round(F.col("v")[i], 6).alias(n) for i, n in enumerate(names)])
@@ -163,6 +179,31 @@ def churn_batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return churn.score(PipelineModel.load(path), customers).select("customerid", "probability_exit", "predicted")
 
 
+@CATALOG.query(
+    f"WITH {CHURN_TABLE} SELECT customerid, customerid % 3 = 0 AS new_geography, TRUE AS scored FROM churn"
+)
+def churn_scoring_of_odd_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer gets a probability: also those of a geography that training did not know, without a gender, age
+    or balance."""
+    customers = written(adapters.churn_table(spark, sf_dir), "customers")
+    train, _ = churn.stable_split(customers, "customerid")
+    key = F.col("customerid")
+    odd = customers.withColumns(
+        {
+            "geography": F.when(key % 3 == 0, "Atlantis").when(key % 5 != 0, F.col("geography")),
+            "gender": F.when(key % 4 != 0, F.col("gender")),
+            "age": F.when(key % 7 != 0, F.col("age")),
+            "balance": F.when(key % 11 != 0, F.col("balance")),
+        }
+    )
+    scored = churn.score(churn.fit_logistic(train), odd)
+    return scored.select(
+        "customerid",
+        F.col("geography").eqNullSafe("Atlantis").alias("new_geography"),
+        F.col("probability_exit").between(0, 1).alias("scored"),
+    )
+
+
 # ---------------------------------------------------------------- forecast
 
 
@@ -254,11 +295,12 @@ def latest_model_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @CATALOG.query()
 def job_of_newest_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The job that the newest log row asks for, run on the whole tables; shown as its number of result rows."""
+    """The rows of the job that the newest log row asks for, run on the whole tables."""
     name = jobs.model_of_newest_upload(adapters.ingest_log(spark, sf_dir))
     result = jobs.JOBS[name](
         published=published(spark, sf_dir),
         macro=adapters.macro(spark, sf_dir),
         customers=adapters.churn_table(spark, sf_dir),
     )
-    return result.agg(F.count(F.lit(1)).alias("result_rows")).withColumn("model", F.lit(name))
+    maps = [c for c, kind in result.dtypes if kind.startswith("map")]
+    return result.withColumns({c: F.to_json(c) for c in maps}).withColumn("asked_by_log", F.lit(name))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import parse_us_date
 from ledgerline.models import churn, forecast, regression, runs
-from ledgerline.operators import rfm, series, stats
+from ledgerline.operators import fx, rfm, series, stats
 from ledgerline.plans.ingest_log import newest_log_row
 from ledgerline.schemas import CHURN_TARGET, MACRO_SERIES
 from ledgerline.session import cut_lineage, written
@@ -28,6 +28,11 @@ def home_volume(
     return series.monthly_volume(rows.where(F.col("Country").isin(*countries)), "received", "UniqueId", key)
 
 
+def regression_volume(published: DataFrame, key: Sequence[str] = ()) -> DataFrame:
+    """The volume that the regressions explain: orders in the three currencies only. Forecasts count all orders."""
+    return home_volume(fx.currency_subset(published, "CurrencyCode"), key=key)
+
+
 def customer_segmentation(published: DataFrame) -> DataFrame:
     rows = published.withColumn("received", parse_us_date(F.col("OrderReceivedDate")))
     return rfm.rfm_segments(rows, "ShipToName", "received", "OrderNumber", "Adj_OrderNetValue")
@@ -44,7 +49,7 @@ def forecast_per_file(published: DataFrame) -> DataFrame:
 
 def regression_rows(published: DataFrame, macro: DataFrame, how: str = "last") -> DataFrame:
     factors = series.factor_table(series.macro_rollup(macro, how), MACRO_SERIES)
-    return regression.regression_frame(home_volume(published), factors)
+    return regression.regression_frame(regression_volume(published), factors)
 
 
 def volume_regression(published: DataFrame, macro: DataFrame) -> DataFrame:
@@ -53,10 +58,10 @@ def volume_regression(published: DataFrame, macro: DataFrame) -> DataFrame:
 
 
 def linear_predictions(frame: DataFrame) -> DataFrame:
-    model = regression.fit_linear(
-        frame.where(F.col("split") == "train"), regression.varying(frame, regression.FEATURES)
-    )
-    return model.transform(frame.where(F.col("split") != "tail")).select("month", "split", "volume", "prediction")
+    used = regression.varying(frame, regression.FEATURES)
+    model = regression.fit_linear(frame.where(F.col("split") == "train"), used)
+    predicted = regression.predictions(model, frame.where(F.col("split") != "tail"), used)
+    return predicted.select("month", "split", "volume", "prediction")
 
 
 def forest_runs(frame: DataFrame, grid: dict[str, list] | None = None) -> tuple[DataFrame, dict]:
@@ -65,7 +70,8 @@ def forest_runs(frame: DataFrame, grid: dict[str, list] | None = None) -> tuple[
     used = regression.varying(frame, regression.FEATURES)
 
     def error(model) -> float:
-        return stats.regression_metrics(model.transform(test), "volume", "prediction").first()["mape"]
+        predicted = regression.predictions(model, test, used)
+        return stats.regression_metrics(predicted, "volume", "prediction").first()["mape"]
 
     return runs.run_grid(
         frame.sparkSession, "volume_forest", "MAPE", runs.grid(**(grid or FOREST_GRID)),

@@ -45,10 +45,9 @@ def has_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "part-*") -> DataFrame:
-    """``(path, modified, bytes, file_name, upload_type)`` of the data files below a folder.
-
-    The file listing is a source of its own here: no file content is read.
+def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """``(path, modified, bytes, file_name, upload_type)`` of the data files below a folder, whatever their names;
+    names that begin with ``_`` or ``.`` are not data. The file listing is a source of its own here: no file content is read.
     """
     listing = (
         spark.read.format("binaryFile")

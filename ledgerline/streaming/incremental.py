@@ -9,8 +9,12 @@ from pyspark.sql.streaming import DataStreamReader, DataStreamWriter
 from pyspark.sql.types import StructType
 
 
+NO_AGE_LIMIT = "36500d"
+
+
 def _new_files(spark: SparkSession, folder: str, schema: StructType, fmt: str, files_per_batch: int | None) -> DataFrame:
-    reader: DataStreamReader = spark.readStream.schema(schema).format(fmt)
+    # Spark ignores files much older than the newest one unless told otherwise; a late file is still a new file.
+    reader: DataStreamReader = spark.readStream.schema(schema).format(fmt).option("maxFileAge", NO_AGE_LIMIT)
     if fmt == "csv":
         reader = reader.option("header", True)
     if files_per_batch:
@@ -53,12 +57,14 @@ def load_new_batches(
 ) -> None:
     """As ``load_new_rows`` for rules that need a whole batch, such as numbering.
 
-    A batch may run again after a failure, so each one replaces its own ``batch_id=<n>`` folder.
+    A batch may run again after a failure, so each one replaces its own folder ``load=<id>/batch_id=<n>``. The id is
+    the one Spark keeps in ``progress``: a run with another progress folder adds to the target and replaces nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            transform(batch).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+            load = batch.sparkSession.read.json(f"{progress}/metadata").first()["id"]
+            transform(batch).write.mode("overwrite").parquet(f"{target}/load={load}/batch_id={batch_id}")
 
     rows = _new_files(spark, folder, schema, fmt, files_per_batch)
     _run_to_end(rows.writeStream.foreachBatch(write), progress)

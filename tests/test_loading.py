@@ -155,13 +155,51 @@ def test_each_file_is_loaded_once(spark, tmp_path):
     assert sorted(tuple(r) for r in spark.read.parquet(target).collect()) == [(i, str(i)) for i in range(10)]
 
 
-def test_a_repeated_batch_replaces_itself(spark, tmp_path):
-    folder, target = str(tmp_path / "in"), str(tmp_path / "out")
+def test_batches_are_never_lost(spark, tmp_path):
+    """A repeated batch replaces itself; batches of another progress folder are added."""
+    from pathlib import Path
+
+    folder, target, progress = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "progress")
     rows = spark.createDataFrame([(i,) for i in range(10)], "n int")
     rows.write.parquet(folder)
-    for run in ("first", "again"):  # the second run has lost its progress and starts over
-        load_new_batches(spark, folder, rows.schema, target, str(tmp_path / run), lambda d: d, fmt="parquet")
+
+    def load(where):
+        load_new_batches(spark, folder, rows.schema, target, where, lambda d: d, fmt="parquet")
+
+    load(progress)
+    for commit in Path(progress, "commits").glob("[.0-9]*"):
+        commit.unlink()  # as if the run had ended before the batch was confirmed
+    load(progress)
     assert spark.read.parquet(target).count() == 10
+    spark.createDataFrame([(i,) for i in range(5)], "n int").write.mode("append").parquet(folder)
+    load(progress)
+    assert spark.read.parquet(target).count() == 15
+    load(str(tmp_path / "another"))
+    assert spark.read.parquet(target).count() == 30
+
+
+def test_late_files_are_loaded(spark, tmp_path):
+    import os
+    import time
+
+    folder, target, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "progress")
+    for name, days in (("new", 0), ("late", 30)):
+        spark.createDataFrame([(days,)], "n int").coalesce(1).write.mode("append").parquet(str(folder))
+        if days:
+            newest = max(folder.glob("part-*"), key=os.path.getmtime)
+            os.utime(newest, (time.time() - days * 86400,) * 2)
+        load_new_rows(spark, str(folder), spark.createDataFrame([], "n int").schema, target, progress, lambda d: d, fmt="parquet")
+    assert sorted(r.n for r in spark.read.parquet(target).collect()) == [0, 30]
+
+
+def test_newest_file_has_any_name(spark, tmp_path):
+    import os
+    import time
+
+    for name, age in (("part-0.csv", 100), ("upload_2024.csv", 0), ("_hidden", -50)):
+        (tmp_path / name).write_text("a\n1\n")
+        os.utime(tmp_path / name, (time.time() - age,) * 2)
+    assert files.latest_file(files.list_files(spark, str(tmp_path))).first().file_name == "upload_2024.csv"
 
 
 def test_shared_folder_is_read_from_the_session(spark):

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from ledgerline.models import churn, forecast, least_squares, regression, runs
 from ledgerline.models.forest import Node, read_nodes, score_forest
@@ -87,10 +88,11 @@ def test_linear_regression_equals_numpy(frame):
         assert table[name].coefficient == pytest.approx(c, rel=1e-6) and 0 <= table[name].p_value <= 1
 
 
-def test_months_without_factors_are_skipped(frame):
+def test_months_without_factors_have_no_prediction(frame):
     used = regression.varying(frame, regression.FEATURES)
-    model = regression.fit_linear(frame, used)
-    assert model.transform(frame).count() == 75  # 80 months, three without lags, two without factors
+    got = regression.predictions(regression.fit_linear(frame, used), frame, used)
+    assert got.count() == 77  # 80 months, three without lags
+    assert got.where("prediction IS NULL").count() == 2  # two without factors
 
 
 def test_forest_grid_and_best_run(spark, frame, tmp_path):
@@ -125,7 +127,7 @@ def test_churn_inputs_are_standardised(spark):
     from pyspark.ml import Pipeline
 
     rows = customers(spark)
-    fitted = Pipeline(stages=churn.feature_stages(rows.count())).fit(rows)
+    fitted = Pipeline(stages=churn.feature_stages(rows)).fit(rows)
     x = np.array([r[0] for r in fitted.transform(rows).select(vector_to_array("features")).collect()])
     assert x.shape == (400, 11)
     np.testing.assert_allclose(x.mean(axis=0), 0, atol=1e-9)
@@ -166,3 +168,46 @@ def test_forest_scoring(spark):
     assert got == [(0.625, 0.375, "a"), (0.125, 0.875, "b"), (0.125, 0.875, "b"), (0.375, 0.625, "b")]
     with pytest.raises(ValueError):
         score_forest(rows, [FOREST[0], Node(0, 1, 0, "x", "like", 1.0, (1, 1))], ["a", "b"])
+
+
+def test_grouped_regression_with_large_means(spark):
+    rng = np.random.default_rng(8)
+    x = 1e8 + 10 * np.arange(200.0)
+    y = 2.0002 * x - 22000 + rng.normal(0, 3, 200)
+    z = rng.normal(0, 1, 200)
+    rows = [("a", float(p), float(q), float(r)) for p, q, r in zip(x, z, y)]
+    rows += [("flat", 5.0, float(q), float(r)) for q, r in zip(z, y)]
+    frame = spark.createDataFrame(rows, "k string, x double, z double, y double")
+    got = least_squares.grouped_regression(frame, ["k"], ["x", "z"], "y")
+    found = {(r.k, r.feature): r.coefficient for r in got.collect()}
+    centred = np.column_stack([x - x.mean(), z - z.mean()])
+    slope = np.linalg.lstsq(centred, y - y.mean(), rcond=None)[0]
+    np.testing.assert_allclose([found["a", "x"], found["a", "z"]], slope, rtol=1e-6)
+    np.testing.assert_allclose(found["a", "intercept"], y.mean() - slope @ [x.mean(), z.mean()], rtol=1e-5)
+    assert [found["flat", f] for f in ("x", "z", "intercept")] == [None] * 3
+
+
+def test_odd_customers_are_scored(spark):
+    rows = customers(spark)
+    for fit in (churn.fit_logistic, churn.fit_network):
+        model = fit(rows.where("geography <> 'Spain' OR age > 0"))
+        odd = rows.selectExpr(
+            "*", "CASE customerid % 4 WHEN 0 THEN 'Atlantis' WHEN 1 THEN NULL ELSE geography END AS g2",
+            "IF(customerid % 3 = 0, NULL, age) AS a2", "IF(customerid % 5 = 0, NULL, gender) AS s2",
+        ).drop("geography", "age", "gender").withColumnsRenamed({"g2": "geography", "a2": "age", "s2": "gender"})
+        scored = churn.score(model, odd)
+        assert scored.count() == rows.count()
+        assert scored.where("probability_exit BETWEEN 0 AND 1").count() == rows.count()
+
+
+def test_a_fourth_geography_fits(spark):
+    rows = customers(spark).withColumn("geography", F.expr("IF(customerid % 9 = 0, 'Italy', geography)"))
+    assert churn.score(churn.fit_network(rows, max_iter=2), rows).count() == rows.count()
+
+
+def test_months_without_factors_stay(spark):
+    rows = [(m, "train" if m < 30 else "test", float(m % 7) if m % 4 else None, float(m)) for m in range(40)]
+    frame = spark.createDataFrame(rows, "month int, split string, cpi double, volume double")
+    model = regression.fit_linear(frame.where("split = 'train'"), ["cpi"])
+    got = regression.predictions(model, frame, ["cpi"]).collect()
+    assert len(got) == 40 and all((r.prediction is None) == (r.cpi is None) for r in got)
