@@ -54,4 +54,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark, "pipeline")
     for _, stage in STAGES[:-1]:
         docs = scratch.table(stage(spark, docs, sf_dir))
+        scratch.keep_only(docs)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -51,6 +51,12 @@ class Scratch:
             target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Delete all tables of this call but these."""
+        kept = {id(table) for table in tables}
+        self.drop(*[table for key, (table, _) in list(self.places.items()) if key not in kept])
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``text`` alone; whatever else the frame carries cannot clash with an operator's columns."""
     return docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).cast("string").alias("text"))

@@ -361,6 +361,7 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     members = sets.select("doc_id", "text_key", "row", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")
     members = _with_roots(members.withColumn("class", F.coalesce("class", "row")), "class", labels, "root")
     members = scratch.table(members.withColumn("root", F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("row"))))
+    scratch.keep_only(members)
     heads = members.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.min(F.struct("doc_id", "row")).alias("head"))
     return members.join(heads, "root").select(
         "doc_id",

@@ -67,6 +67,8 @@ def frequent_line_flags(docs: DataFrame, min_documents: int = 10, min_chars: int
         .filter("any")
         .select("_ll_id", "_ll_text", F.col("all.dropped").alias("_ll_flags"))
     )
+    flags = scratch.table(flags)
+    scratch.drop(keyed)
     same = F.col("doc_id").eqNullSafe(F.col("_ll_id")) & (text_key(F.col("text")) == F.col("_ll_text"))
     return docs.join(flags, same, "left").select(*[quoted(c) for c in docs.columns], "_ll_flags")
 

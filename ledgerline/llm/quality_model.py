@@ -246,7 +246,7 @@ def train(docs: DataFrame, sample: int = 8_000) -> Model:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, text_key, weak_label, score, kept``, one row per row of ``docs``. A text without words scores 0 and
+    """``doc_id, weak_label, score, kept``, one row per row of ``docs``. A text without words scores 0 and
     is rejected; whatever is not more likely bad than good is kept."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
