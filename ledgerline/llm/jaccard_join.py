@@ -12,8 +12,12 @@ share the costly subset, so both sides choose alike and no link is lost.
 
 Each set also has a parity sketch: one bit per bucket of hashes, flipped by each n-gram in it. Two sketches differ in
 no more bits than the sets differ in n-grams, so a pair whose sketches differ in more than H bits is dropped without
-loss. What is left is verified on the whole texts. Copies of a set are one class throughout. Only components are wanted, so
-a group of candidates is first compared with one of its members; only pairs of still separate components follow.
+loss. What is left is verified on the whole texts.
+
+Copies of a set are one class throughout. Only components are wanted, so the members of costly groups are first compared
+with one of them, and from then on only members of separate components are. Groups are dealt out in blocks of a bounded
+size; the sketches of two blocks are compared in one task, and only pairs that pass leave it: first the best few of
+each member, then, once these have joined what they join, the rest.
 """
 
 from __future__ import annotations
@@ -32,8 +36,8 @@ from ledgerline.llm.components import components
 _U = np.uint64
 _STEP, _ONE, _TWO = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 FREQUENT = 16  # of 64 marks set: about 18 sets or more share a subset
-SMALL_GROUP = 64
-PIVOTS = 32
+BLOCK = 256  # members of a group that meet in one task, twice
+BEST = 2  # partners of a member that are verified before the others
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -139,20 +143,17 @@ def neighbourhoods(found: np.ndarray, bands: Bands, costly: np.ndarray) -> np.nd
 
 
 def sketch(found: np.ndarray, bands: Bands) -> bytes:
-    """Parities of a set's n-grams over a power of two of buckets, some four times as many as differences allowed."""
+    """Parities of a set's n-grams over a power of two of buckets, at least eight times as many as differences allowed."""
     allowed = bands.differences(found.size, found.size * 100 // bands.percent)
-    bits = 1 << min(14, max(7, (4 * allowed).bit_length()))
+    bits = 1 << max(7, (8 * allowed).bit_length())
     at = ((found >> _U(7)) & _U(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
-def sketch_distance(one: bytes, other: bytes) -> int:
-    """Bits in which two sketches differ; the longer one is folded to the shorter one's buckets."""
-    x, y = np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)
-    while x.size != y.size:
-        x, y = (x, y) if x.size > y.size else (y, x)
-        x = x[: x.size // 2] ^ x[x.size // 2 :]
-    return int(np.bitwise_count(x ^ y).sum())
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of words, the longer ones folded to the shortest one's buckets."""
+    size = min(map(len, sketches)) // 8
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(s, _U).reshape(-1, size), axis=0) for s in sketches])
 
 
 def _signed(values: np.ndarray) -> np.ndarray:
@@ -226,16 +227,16 @@ class Verifier:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                good = [
-                    sketch_distance(x, y) <= bands.differences(n, m)
-                    for n, m, x, y in zip(*(batch.column(k).to_pylist() for k in range(2, 6)))
-                ]
+                good = []
+                for n, m, x, y in zip(*(batch.column(k).to_pylist() for k in range(2, 6))):
+                    one, other = folded([x, y])
+                    good.append(int(np.bitwise_count(one ^ other).sum()) <= bands.differences(n, m))
                 yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
         return both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        near = self.scratch.table(self.near(pairs))
+    def links(self, near: DataFrame) -> DataFrame:
+        """Those of the pairs that are linked, decided on the whole texts."""
         if near.isEmpty():
             return near
         held = self.scratch.table(self.whole(near.select(F.explode(F.array("a", "b")).alias("row")).distinct()))
@@ -282,29 +283,82 @@ def _joined(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.table(known.unionByName(merged.join(labels, "node", "left_anti")))
 
 
-def _resolved(groups: DataFrame, labels: DataFrame, verifier: Verifier, scratch: Scratch) -> DataFrame:
-    """Labels once every pair of a group's members is known to be in one component or not similar.
+def _candidates(members: DataFrame, sets: DataFrame, percent: int, best: int | None) -> DataFrame:
+    """Pairs ``a, b`` of a group's members of separate components whose sizes and sketches allow a link; with ``best``
+    only so many for each member and block, the nearest first.
 
-    Groups of up to ``SMALL_GROUP`` members are done in one round. Of a larger group about ``PIVOTS`` members are
-    compared with the others, which only counts members of other components, and leave it; then what they linked is
-    one component, and the rest goes on.
+    A group is dealt into blocks by a hash of the member, and each member goes to the tasks of its block with every
+    block of the group. A task holds two blocks at a time.
     """
-    turn = 0
-    while True:
-        mixed = scratch.table(_mixed(groups, labels))
-        if mixed.isEmpty():
-            return labels
-        chosen = F.pmod(F.xxhash64("row", F.lit(turn)), F.ceil(F.col("members") / PIVOTS)) == 0
-        marked = mixed.withColumn("pivot", (F.col("members") <= SMALL_GROUP) | chosen)
-        left = marked.filter("pivot").select("g", F.col("row").alias("a"), F.col("root").alias("root_a"))
-        right = marked.select("g", F.col("row").alias("b"), F.col("root").alias("root_b"), "pivot")
-        pairs = left.join(right, "g").filter("root_a <> root_b AND (a < b OR NOT pivot)")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = verifier.links(pairs)
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    placed = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sketches = sets.select("row", F.col("n").cast("long").alias("n"), "sketch")
+    dealt = (
+        placed.join(sketches, "row")
+        .select("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "row", "root", "n", "sketch")
+        .repartition("g", "i", "j")
+        .sortWithinPartitions("g", "i", "j", "own", "row")
+    )
+    bands = Bands(percent)
+
+    def compared(rows: list[tuple]) -> list[tuple[int, int]]:
+        _, i, j, own, row, root, n, sketches = (list(c) for c in zip(*rows))
+        own, row, root, n = (np.array(c, np.int64) for c in (own, row, root, n))
+        bits, found = folded(sketches), []
+        split = int((own == i[0]).sum())  # sorted by block: the first one, then the other
+        for k in range(split if i[0] != j[0] else len(row) - 1):
+            ahead = slice(split, None) if i[0] != j[0] else slice(k + 1, None)
+            fits = (root[ahead] != root[k]) & (np.minimum(n[ahead], n[k]) * 100 >= np.maximum(n[ahead], n[k]) * percent)
+            at = np.flatnonzero(fits) + ahead.start
+            if not at.size:
+                continue
+            apart = np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64)
+            passed = apart <= (n[at] + n[k]) * (100 - percent) // (100 + percent)
+            at, apart = at[passed], apart[passed]
+            if best is not None and at.size > best:
+                at = at[np.argsort(apart, kind="stable")[:best]]
+            found += [(min(row[k], row[m]), max(row[k], row[m])) for m in at]
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            pairs: list[tuple[int, int]] = []
+            for member in zip(*(column.to_pylist() for column in batch.columns)):
+                if held and held[-1][:3] != member[:3]:
+                    pairs += compared(held) if len(held) > 1 else []
+                    held = []
+                held.append(member)
+            yield _pairs(pairs)
+        if len(held) > 1:
+            yield _pairs(compared(held))
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    columns = [pa.array([int(p[k]) for p in pairs], pa.int64()) for k in (0, 1)]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+
+def _resolved(groups: DataFrame, labels: DataFrame, verifier: Verifier, scratch: Scratch) -> DataFrame:
+    """Labels once every pair of a group's members is known to be in one component or not similar: the best pairs
+    first, then all others that are still in separate components."""
+    tried = None
+    for best in (BEST, None):
+        members = scratch.table(_mixed(groups, labels))
+        if members.isEmpty():
+            break
+        near = _candidates(members, verifier.sets, verifier.percent, best)
+        near = scratch.table(near if tried is None else near.join(tried, ["a", "b"], "left_anti"))
+        links = verifier.links(near)
         if not links.isEmpty():
             labels = _joined(labels, links, scratch)
-        groups = scratch.table(marked.filter("NOT pivot").select("g", "row"))
-        turn += 1
+        if best and near.isEmpty():
+            break
+        tried, groups = near, members.select("g", "row")
+    return labels
 
 
 def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -338,12 +392,9 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         .select("g", F.col("low").alias("pivot"), (F.bit_count("marks") >= FREQUENT).alias("costly"))
     )
     groups = scratch.table(entries.join(shared, "g"))
-    stars = groups.filter("row <> pivot").select(F.col("pivot").alias("a"), F.col("row").alias("b")).distinct()
-    stars = scratch.table(stars)
     verifier = Verifier(docs, sets, size, percent, scratch)
-    labels = scratch.table(components(verifier.links(stars), "a", "b", scratch))
-    few = groups.filter("NOT costly AND row <> pivot").select("g", "row")
-    labels = _resolved(few, labels, verifier, scratch)
+    stars = groups.filter("costly AND row <> pivot").select(F.col("pivot").alias("a"), F.col("row").alias("b")).distinct()
+    labels = scratch.table(components(verifier.links(scratch.table(verifier.near(stars))), "a", "b", scratch))
     costly = _mixed(groups.filter("costly").select("g", "row"), labels)
     costly = scratch.table(costly.groupBy("row").agg(F.collect_set("g").alias("costly")))
     costly = costly.join(verifier.whole(costly.select("row")), "row")
@@ -356,7 +407,8 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(_signed(found)), pa.array(np.full(found.size, row))], ["g", "row"])
 
     wide = scratch.table(costly.select("row", "text", "costly").mapInArrow(run, "g long, row long"))
-    labels = _resolved(wide, labels, verifier, scratch)
+    few = groups.filter("NOT costly").select("g", "row")
+    labels = _resolved(few.unionByName(wide), labels, verifier, scratch)
 
     members = sets.select("doc_id", "text_key", "row", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")
     members = _with_roots(members.withColumn("class", F.coalesce("class", "row")), "class", labels, "root")

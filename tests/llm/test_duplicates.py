@@ -57,12 +57,12 @@ def near_copies(seed, groups=12):
     return rows
 
 
-@pytest.mark.parametrize("size, percent, frequent, small", [(4, 85, 40, 64), (5, 80, 2, 2), (3, 70, 1, 1)])
-def test_groups_equal_all_pairs(spark, monkeypatch, size, percent, frequent, small):
-    """With low limits, costly subsets and large groups are the rule."""
+@pytest.mark.parametrize("size, percent, frequent, block, best", [(4, 85, 16, 256, 2), (5, 80, 2, 2, 1), (3, 70, 1, 3, 1)])
+def test_groups_equal_all_pairs(spark, monkeypatch, size, percent, frequent, block, best):
+    """With low limits, costly subsets and groups of many blocks are the rule."""
     monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
-    monkeypatch.setattr(jaccard_join, "SMALL_GROUP", small)
-    monkeypatch.setattr(jaccard_join, "PIVOTS", 2)
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "BEST", best)
     rows = [*texts(), *near_copies(size)]
     got = jaccard_join.near_groups(table(spark, rows), size, percent).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == Counter(plain_groups(rows, size, percent))
