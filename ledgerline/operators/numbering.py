@@ -9,13 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.text import quoted
-from ledgerline.session import written
+from ledgerline.session import remove, written, written_at
 
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
 def sequence_numbers(
-    df: DataFrame, order_by: Sequence[str], name: str, unique: bool = False, total: str | None = None
+    df: DataFrame,
+    order_by: Sequence[str],
+    name: str,
+    unique: bool = False,
+    total: str | None = None,
+    ties: str = "columns",
 ) -> DataFrame:
     """Row numbers 1..n over the whole frame in ``order_by`` order; ``total`` names a column for n.
 
@@ -24,27 +29,33 @@ def sequence_numbers(
     to the shared folder, because both the sizes and the numbers must come from the same partitions; the sizes
     then need one column only.
 
-    With ``unique`` the order columns identify a row. Otherwise ties are broken by the other columns, and exact
-    copies, which no column can tell apart, by their place in the input; so one hot key or one large group of
-    copies is still cut into several ranges. The place is repeatable for rows that come from files.
-
-    Choosing the ranges takes a pass of its own over the input from its last shuffle on; put an expensive
-    row-wise input through :func:`ledgerline.session.written` first.
+    With ``unique`` the order columns identify a row. Otherwise ties are ordered by the other columns, or with
+    ``ties="hash"`` by a hash of them, which keeps the sampled range keys of wide rows narrow; and exact copies, which
+    no column can tell apart, by their place in the input. So one hot key or one large group of copies is still cut
+    into several ranges. For that place to be the same in a repeated task, and because choosing the ranges takes a pass of its own, the input is written first and removed
+    once the ranges are.
     """
-    keys = list(order_by)
-    work = df
+    keys = [quoted(k) for k in order_by]
+    work, place = df, None
     if not unique:
-        taken = {k.lower() for k in keys}
-        keys += [f.name for f in df.schema if f.name.lower() not in taken and not isinstance(f.dataType, T.MapType)]
-        work = df.withColumn("_copy", F.monotonically_increasing_id())
+        taken = {k.lower() for k in order_by}
+        others = [f.name for f in df.schema if f.name.lower() not in taken and not isinstance(f.dataType, T.MapType)]
+        work, place = written_at(df, "numbering-input")
+        if ties == "hash":
+            work = work.withColumn("_ties", F.xxhash64(*map(quoted, others)) if others else F.lit(0))
+            keys.append("_ties")
+        else:
+            keys += map(quoted, others)
+        work = work.withColumn("_copy", F.monotonically_increasing_id())
         keys.append("_copy")
-    columns = [quoted(k) for k in keys]
     ranged = written(
-        work.repartitionByRange(*columns)
-        .sortWithinPartitions(*columns)
+        work.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
         .select(*map(quoted, df.columns), F.monotonically_increasing_id().alias("_at")),
         "numbering",
     )
+    if place:
+        remove(df.sparkSession, place)
     part = F.shiftright("_at", _POSITION_BITS)
     sizes = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -61,4 +61,4 @@ def published_rows(df: DataFrame, rate: float = 71, legacy_swap: bool = False) -
 
 def order_model(df: DataFrame) -> DataFrame:
     """Published layout with the sequence number ``S.No`` by order key."""
-    return sequence_numbers(published_rows(df), ["UniqueId"], "S.No")
+    return sequence_numbers(published_rows(df), ["UniqueId", "MarketingGroup", "OrderNumber"], "S.No", ties="hash")

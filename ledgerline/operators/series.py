@@ -47,20 +47,24 @@ def fill_month_gaps(volume: DataFrame, key: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def macro_rollup(macro: DataFrame, how: str = "count") -> DataFrame:
-    """``(series, date, value)`` observations rolled up to months by count, mean or last observation."""
-    measure = {
-        "count": F.count("value").cast("double"),
-        "mean": F.avg("value"),
-        "last": F.max_by("value", "date"),
-    }[how]
+def macro_measures(macro: DataFrame) -> DataFrame:
+    """``(series, date, value)`` observations by month, in one aggregation: ``count``, ``mean`` and ``last``."""
     return (
         macro.where(F.col("date").isNotNull())
         .groupBy("series", month_start(F.col("date")).alias("month"))
-        .agg(measure.alias("value"))
+        .agg(
+            F.count("value").cast("double").alias("count"),
+            F.avg("value").alias("mean"),
+            F.max_by("value", "date").alias("last"),
+        )
     )
 
 
+def macro_rollup(macro: DataFrame, how: str = "count") -> DataFrame:
+    """Observations rolled up to months by count, mean or last observation; the other measures are not computed."""
+    return macro_measures(macro).select("series", "month", F.col(how).alias("value"))
+
+
 def factor_table(rolled: DataFrame, series: Sequence[str]) -> DataFrame:
     """One row per month with one column per series, null where a series has no value: a full outer join of
     all series on month, done as a single pivot."""

@@ -193,14 +193,11 @@ def monthly_volume_gaps_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"UNION ALL SELECT 'last', series, {_MONTH}, last FROM rolled"
 )
 def macro_monthly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = adapters.macro(spark, sf_dir)
-
-    def rolled(how: str) -> DataFrame:
-        out = series.macro_rollup(source, how)
-        value = F.round("value", 4) if how == "mean" else F.col("value")
-        return out.select(F.lit(how).alias("how"), "series", F.col("month").cast("string").alias("month"), value.alias("value"))
-
-    return rolled("count").unionByName(rolled("mean")).unionByName(rolled("last"))
+    measures = series.macro_measures(adapters.macro(spark, sf_dir))
+    values = {"count": F.col("count"), "mean": F.round("mean", 4), "last": F.col("last")}
+    entries = F.array(*[F.struct(F.lit(how).alias("how"), value.alias("value")) for how, value in values.items()])
+    rolled = measures.select("series", F.col("month").cast("string").alias("month"), F.inline(entries).alias("how", "value"))
+    return rolled.select("how", "series", "month", "value")
 
 
 @CATALOG.query(f"WITH {FACTORS.format(how='n')} SELECT {_MONTH}, {', '.join(MACRO_SERIES)} FROM factors")

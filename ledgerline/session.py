@@ -65,9 +65,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder as Parquet and read back: as :func:`cut_lineage`, but compressed and
     readable by column, for frames as large as the data."""
+    return written_at(df, label)[0]
+
+
+def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As :func:`written`, with the path, for a caller that removes the rows once nothing reads them."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
