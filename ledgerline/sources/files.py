@@ -12,9 +12,18 @@ from ledgerline.functions.text import file_name, upload_type
 from ledgerline.schemas import METRIC_FILE
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None) -> DataFrame:
-    """CSV with a header. Without a schema the types are inferred, which reads the data an extra time."""
-    reader = spark.read.option("header", True)
+# Quotes inside a text are doubled; zones are written the same way. CSV as the sources write it does not tell an empty
+# text from a null: both are read as null. Parquet zones keep the difference.
+CSV_OPTIONS = {"header": True, "escape": '"'}
+
+
+def read_csv(
+    spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None, line_breaks: bool = False
+) -> DataFrame:
+    """CSV with a header. Without a schema the types are inferred, which reads the data an extra time; a schema is
+    matched to the columns by position. ``line_breaks`` reads texts that hold line breaks; each file is then
+    read by one task, so it is for folders of files of a bounded size, as the zones are."""
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=line_breaks)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 
@@ -30,7 +39,7 @@ def read_zone(
     """Read back ``<zone>/<source>``; ``file_type`` comes from the partition folders."""
     path = f"{zone}/{source}"
     if fmt == "csv":
-        return read_csv(spark, path, schema)
+        return read_csv(spark, path, schema, line_breaks=True)
     if fmt == "parquet":
         return read_parquet_zone(spark, path)
     raise ValueError(f"unknown zone format {fmt!r}")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 PARTITION_COLUMN = "file_type"
-SINGLE_FILE_ROWS = 1_000_000
 
 
 def write_zone(
@@ -14,17 +13,15 @@ def write_zone(
     """Append to ``<zone>/<source>/file_type=<value>/``.
 
     Every task writes its own files: the upload classes are few and one of them may hold most rows, so the rows
-    are not brought together per class. ``single_file`` writes one file per class and is meant for small
-    extracts; it is refused above a fixed number of rows.
+    are not brought together per class. ``single_file`` makes one task write one file per class, for readers that
+    want a single extract; zones are read as folders and do not need it.
     """
     if single_file:
-        if df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-            raise ValueError(f"more than {SINGLE_FILE_ROWS} rows do not go into a single file")
-        df = df.coalesce(1)
+        df, max_rows_per_file = df.coalesce(1), 0
     writer = df.write.mode("append").partitionBy(PARTITION_COLUMN).option("maxRecordsPerFile", max_rows_per_file)
     path = f"{zone}/{source}"
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     elif fmt == "parquet":
         writer.parquet(path)
     else:

@@ -78,13 +78,18 @@ def test_default_writers(spark, tmp_path):
         files.read_zone(spark, zone, source, "xml")
 
 
-def test_single_file_is_bounded(spark, tmp_path, monkeypatch):
-    rows = spark.range(20).select("id", F.lit("training").alias("file_type"))
-    sinks.write_zone(rows.repartition(4), str(tmp_path / "one"), "DS1", "csv", single_file=True)
+def test_single_file(spark, tmp_path):
+    rows = spark.range(20).withColumn("file_type", F.lit("training"))
+    sinks.write_zone(rows.repartition(4), str(tmp_path / "one"), "DS1", "csv", single_file=True, max_rows_per_file=5)
     assert files.list_files(spark, str(tmp_path / "one")).count() == 1
-    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 10)
-    with pytest.raises(ValueError):
-        sinks.write_zone(rows, str(tmp_path / "two"), "DS1", "csv", single_file=True)
+
+
+def test_csv_zone_keeps_texts(spark, tmp_path):
+    texts = ["plain", "", None, " padded ", 'a "quoted" word', "two\nlines", 'mixed, "x"\r\n\\end\\', "\\", '"', "é,ü"]
+    rows = spark.createDataFrame([(i, t, t, "training") for i, t in enumerate(texts)], "n int, t string, u string, file_type string")
+    sinks.write_zone(rows.repartition(3), str(tmp_path), "DS1", "csv")
+    back = files.read_zone(spark, str(tmp_path), "DS1", "csv", rows.schema)
+    assert sorted((r.n, r.t, r.u) for r in back.collect()) == [(i, t or None, t or None) for i, t in enumerate(texts)]
 
 
 def test_database_writer_needs_a_database(spark):
