@@ -302,7 +302,25 @@ def _candidates(members: DataFrame, sets: DataFrame, percent: int, best: int | N
     )
     bands = Bands(percent)
 
+    def few_compared(rows: list[tuple]) -> list[tuple[int, int]]:
+        found = []
+        for k, (*_, row, root, n, sketch_) in enumerate(rows):
+            near = []
+            for *_, row_, root_, n_, other in rows[k + 1 :]:
+                if root != root_ and min(n, n_) * 100 >= max(n, n_) * percent:
+                    if len(sketch_) == len(other):
+                        apart = (int.from_bytes(sketch_) ^ int.from_bytes(other)).bit_count()
+                    else:
+                        one, two = folded([sketch_, other])
+                        apart = int(np.bitwise_count(one ^ two).sum())
+                    if apart <= bands.differences(n, n_):
+                        near.append((apart, min(row, row_), max(row, row_)))
+            found += [pair[1:] for pair in (sorted(near)[:best] if best is not None else near)]
+        return found
+
     def compared(rows: list[tuple]) -> list[tuple[int, int]]:
+        if len(rows) <= 12 and rows[0][1] == rows[0][2]:
+            return few_compared(rows)
         _, i, j, own, row, root, n, sketches = (list(c) for c in zip(*rows))
         own, row, root, n = (np.array(c, np.int64) for c in (own, row, root, n))
         bits, found = folded(sketches), []
@@ -402,9 +420,12 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, memo = Bands(percent), _word_memo()
         for batch in batches:
+            rows, found = [], [np.empty(0, _U)]
             for row, text, subset in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                found = neighbourhoods(shingle_set(words(text), size, memo), bands, np.array(subset, np.int64).view(_U))
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(found)), pa.array(np.full(found.size, row))], ["g", "row"])
+                found.append(neighbourhoods(shingle_set(words(text), size, memo), bands, np.array(subset, np.int64).view(_U)))
+                rows.append(row)
+            repeated = np.repeat(np.array(rows, np.int64), [f.size for f in found[1:]])
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(found))), pa.array(repeated)], ["g", "row"])
 
     wide = scratch.table(costly.select("row", "text", "costly").mapInArrow(run, "g long, row long"))
     few = groups.filter("NOT costly").select("g", "row")
