@@ -7,7 +7,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.text import upload_type
 from ledgerline.models import churn, forecast, least_squares, regression
 from ledgerline.models.forest import read_nodes, score_forest
 from ledgerline.operators import series, stats
@@ -18,8 +17,8 @@ from ledgerline.plans.catalog.cleaning import published
 from ledgerline.plans.catalog.loading import CHURN_TABLE, LOG
 from ledgerline.schemas import CHURN_FEATURES
 from ledgerline.session import cut_lineage, scratch_path, table, written
-from ledgerline.sources.files import read_csv, read_metric_files, with_file
-from ledgerline.sources.sinks import write_zone
+from ledgerline.sources.files import read_csv, read_metric_files
+from ledgerline.sources.sinks import UPLOAD_COLUMN, write_zone
 
 CATALOG = Catalog()
 
@@ -225,13 +224,13 @@ def seasonal_arima_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @CATALOG.query()
 def forecast_per_training_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The retraining job: every published file has a series and a forecast of its own."""
+    """The retraining job: every training upload has a series and a forecast of its own."""
     zone = scratch_path(spark, "published")
     rows = published(spark, sf_dir).select("UniqueId", "OrderReceivedDate", "Country", "file_type")
-    write_zone(rows, zone, "DS1", "csv")
-    made = jobs.JOBS["AremaRetrain"](published=with_file(read_csv(spark, f"{zone}/DS1", rows.schema)))
-    metrics = stats.regression_metrics(made, "actual", "forecast", ["source_file"])
-    return metrics.select(upload_type(F.col("source_file")).alias("upload_type"), "n", "rmse", "mape")
+    write_zone(rows, zone, "DS1", "csv", upload_id="first")
+    read = read_csv(spark, f"{zone}/DS1", rows.withColumn(UPLOAD_COLUMN, F.lit("")).schema)
+    metrics = stats.regression_metrics(jobs.JOBS["AremaRetrain"](published=read), "actual", "forecast", [UPLOAD_COLUMN, "method"])
+    return metrics.select(F.lit("Training").alias("upload_type"), UPLOAD_COLUMN, "method", "n", "rmse", "mape")
 
 
 @CATALOG.query()

@@ -13,6 +13,7 @@ from ledgerline.operators import fx, rfm, series, stats
 from ledgerline.plans.ingest_log import newest_log_row
 from ledgerline.schemas import CHURN_TARGET, MACRO_SERIES
 from ledgerline.session import cut_lineage, written
+from ledgerline.sources.sinks import PARTITION_COLUMN, UPLOAD_COLUMN
 
 # The parameter grids of the retraining jobs.
 FOREST_GRID = {"feature_subset": ["all", "sqrt"], "num_trees": [10, 300, 5000]}
@@ -42,9 +43,19 @@ def volume_forecast(published: DataFrame) -> DataFrame:
     return forecast.seasonal_forecast(home_volume(published), "volume")
 
 
-def forecast_per_file(published: DataFrame) -> DataFrame:
-    """One forecast per training file; the rows carry their file in ``source_file``."""
-    return forecast.seasonal_forecast(home_volume(published, key=["source_file"]), "volume", ["source_file"])
+def forecast_per_upload(published: DataFrame) -> DataFrame:
+    """One forecast per training upload; the rows carry their upload in ``upload_id``, so that the files a writer
+    happened to split an upload into do not matter. Testing and retraining uploads have no series."""
+    training = published.where(F.col(PARTITION_COLUMN) == "training")
+    return forecast.seasonal_forecast(home_volume(training, key=[UPLOAD_COLUMN]), "volume", [UPLOAD_COLUMN])
+
+
+def retraining_forecast(published: DataFrame) -> DataFrame:
+    if UPLOAD_COLUMN in published.columns:
+        return forecast_per_upload(published)
+    if "source_file" in published.columns:
+        raise ValueError(f"a file is not an upload: rows of several uploads need a column {UPLOAD_COLUMN}")
+    return volume_forecast(published)
 
 
 def regression_rows(published: DataFrame, macro: DataFrame, how: str = "last") -> DataFrame:
@@ -100,9 +111,7 @@ def churn_runs(customers: DataFrame, grid: dict[str, list] | None = None) -> tup
 JOBS: dict[str, Callable[..., DataFrame]] = {
     "Customer_Segmentation": lambda published, **_: customer_segmentation(published),
     "Arema": lambda published, **_: volume_forecast(published),
-    "AremaRetrain": lambda published, **_: (
-        forecast_per_file(published) if "source_file" in published.columns else volume_forecast(published)
-    ),
+    "AremaRetrain": lambda published, **_: retraining_forecast(published),
     "lr": lambda published, macro, **_: volume_regression(published, macro),
     "LinearRetrain": lambda published, macro, **_: forest_runs(cut_lineage(regression_rows(published, macro)))[0],
     "Churn": lambda customers, **_: churn_classifier(customers),

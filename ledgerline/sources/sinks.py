@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 PARTITION_COLUMN = "file_type"
+UPLOAD_COLUMN = "upload_id"
 
 
 def write_zone(
-    df: DataFrame, zone: str, source: str, fmt: str, single_file: bool = False, max_rows_per_file: int = 5_000_000
+    df: DataFrame, zone: str, source: str, fmt: str, single_file: bool = False, max_rows_per_file: int = 5_000_000,
+    upload_id: str | None = None,
 ) -> None:
-    """Append to ``<zone>/<source>/file_type=<value>/``.
+    """Append to ``<zone>/<source>/file_type=<value>/``, or with an ``upload_id`` to its folder ``upload_id=<id>/``
+    there, which keeps the rows of one upload together however many files they fill.
 
     Every task writes its own files: the upload classes are few and one of them may hold most rows, so the rows
     are not brought together per class. ``single_file`` makes one task write one file per class, for readers that
@@ -18,7 +22,10 @@ def write_zone(
     """
     if single_file:
         df, max_rows_per_file = df.coalesce(1), 0
-    writer = df.write.mode("append").partitionBy(PARTITION_COLUMN).option("maxRecordsPerFile", max_rows_per_file)
+    folders = [PARTITION_COLUMN]
+    if upload_id is not None:
+        df, folders = df.withColumn(UPLOAD_COLUMN, F.lit(upload_id)), [*folders, UPLOAD_COLUMN]
+    writer = df.write.mode("append").partitionBy(*folders).option("maxRecordsPerFile", max_rows_per_file)
     path = f"{zone}/{source}"
     if fmt == "csv":
         writer.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)

@@ -211,3 +211,28 @@ def test_months_without_factors_stay(spark):
     model = regression.fit_linear(frame.where("split = 'train'"), ["cpi"])
     got = regression.predictions(model, frame, ["cpi"]).collect()
     assert len(got) == 40 and all((r.prediction is None) == (r.cpi is None) for r in got)
+
+
+def test_a_series_is_an_upload_however_many_files_it_fills(spark, tmp_path):
+    from ledgerline.plans import jobs
+    from ledgerline.sources.files import read_csv
+    from ledgerline.sources.sinks import write_zone
+
+    def upload(kind, k, n):
+        volumes = [round(v) for v in seasonal(n, k, 1.0)]
+        rows = [(f"{k}-{i}-{j}", f"{m:%m/%d/%Y}", "Usa", kind) for i, (m, v) in enumerate(zip(months(n), volumes)) for j in range(v)]
+        return spark.createDataFrame(rows, "UniqueId string, OrderReceivedDate string, Country string, file_type string")
+
+    uploads = {"007": upload("training", 1, 84), "7": upload("training", 2, 72), "x": upload("testing", 3, 84)}
+    got = {}
+    for files in (1, 50):
+        zone = str(tmp_path / f"zone{files}")
+        for name, rows in uploads.items():
+            write_zone(rows.repartition(files), zone, "DS1", "csv", upload_id=name)
+        assert len(list((tmp_path / f"zone{files}").rglob("part-*.csv"))) == 3 * files
+        read = read_csv(spark, f"{zone}/DS1", uploads["x"].withColumn("upload_id", F.lit("")).schema)
+        got[files] = sorted(map(tuple, jobs.JOBS["AremaRetrain"](published=read).collect()))
+    assert got[1] == got[50] and len(got[1]) == 24
+    assert {(r[0], r[-1]) for r in got[1]} == {("007", "seasonal_arima"), ("7", "seasonal_arima")}
+    with pytest.raises(ValueError):
+        jobs.JOBS["AremaRetrain"](published=uploads["x"].withColumn("source_file", F.lit("part-0")))
