@@ -186,3 +186,24 @@ def test_the_added_conversation(spark):
     row = next(r for r in catalog.op10_chat_formatting(spark, SF).collect() if r.conv_id == -7)
     text = "</s>[INST] ok [/INST]"
     assert (row.n_turns, row.loss_chars, row.loss_sha256) == (2, len(text), hashlib.sha256(text.encode()).hexdigest())
+
+
+LONG = "A sentence of the body that is much longer than the short introduction above it. " * 6
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        # a short introduction and a short end, parted from the body by furniture
+        ("<p>Intro.</p>%s<p>" + LONG + "</p>%s<p>The end.</p>", ["Intro.", LONG.strip(), "The end."]),
+        # paragraphs made of links between text, and references
+        ("<p>" + LONG + "</p><p><a href=x>Only a link</a></p><p>More.</p><p>Smith: <a href=y>A much longer title of a paper</a></p>",
+         [LONG.strip(), "Only a link", "More.", "Smith: A much longer title of a paper"]),
+        ("<p>" + LONG + "</p>" + 4 * "<p><a href=x>A title of six short words</a></p>", [LONG.strip(), *4 * ["A title of six short words"]]),
+        # menus of links outside any furniture, before and behind
+        (4 * "<div><a href=x>Home</a> | <a href=y>News</a></div>" + "<p>Text.</p>" + 4 * "<p><a href=z>More</a></p>", ["Text."]),
+    ],
+)
+def test_unmarked_pages_lose_no_text(page, want):
+    ads = 4 * "<div class='ad'>Buy</div>"
+    assert page_text.main_text("<body>" + page.replace("%s", ads)) == "\n".join(want)
