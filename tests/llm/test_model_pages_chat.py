@@ -207,3 +207,27 @@ LONG = "A sentence of the body that is much longer than the short introduction a
 def test_unmarked_pages_lose_no_text(page, want):
     ads = 4 * "<div class='ad'>Buy</div>"
     assert page_text.main_text("<body>" + page.replace("%s", ads)) == "\n".join(want)
+
+
+@pytest.mark.parametrize("name", ["post category-legal", "has-sidebar", "comments-open", "tag-social", "sidebar", "content-with-sidebar"])
+def test_class_words_take_no_article(name):
+    for page in (f"<article class='{name}'><p>Text.</p></article>", f"<main id='{name}'><p>Text.</p></main>", f"<div role='main' class='{name}'><p>Text.</p></div>"):
+        assert page_text.main_text(PAGE % page) == "Text."
+    if "-" in name:
+        assert page_text.main_text(PAGE % f"<div id='{name}'><p>Text.</p></div>") == "Text."
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<p>a<svg viewBox='0 0 1 1'/>b</p><p>c</p>", "ab\nc"),
+        ("<p>a</p><object data='x'/><p>b</p><object><p>no</p></object><p>c</p>", "a\nb\nc"),
+        ("<p>a</p><canvas><p>b</p><math><mi>x</mi></math><canvas>no</canvas><p>c</p>", "a\nb\nc"),
+        ("<p>a<svg><svg><text>no</text></svg><text>no</text></svg>b</p>", "ab"),
+        ("<div style='overflow:hidden' data-class='ad'><p>a</p></div>", "a"),
+        ("<p>a</p><div class='comment-list'><p>no</p></div><div class='cookie-notice'>no</div><div id='site-footer'>no</div>", "a"),
+        ("<article><p>a</p><section class='comments'><article class='comment-body'><p>no</p></article></section></article>", "a"),
+    ],
+)
+def test_embedded_and_named_elements(page, want):
+    assert page_text.main_text(page) == want
