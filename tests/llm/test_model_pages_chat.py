@@ -231,3 +231,54 @@ def test_class_words_take_no_article(name):
 )
 def test_embedded_and_named_elements(page, want):
     assert page_text.main_text(page) == want
+
+
+U, A, S = ("user", "p"), ("assistant", "r"), ("system", "s")
+EVERY_LAYOUT = {
+    "turn": ({"role": "user", "text": "p"}, [U]),
+    "messages": ({"messages": [{"role": "user", "content": "p"}, {"role": "assistant", "content": "r"}]}, [U, A]),
+    "conversations": ({"conversations": [{"from": "human", "value": "p"}, {"from": "gpt", "value": "r"}]}, [U, A]),
+    "instruction": ({"instruction": "p", "output": "r"}, [U, A]),
+    "instruction_input": ({"instruction": "p", "input": "p", "output": "r"}, [U, U, A]),
+    "prompt_completion": ({"prompt": "p", "completion": "r"}, [U, A]),
+    "prompt_response": ({"prompt": "p", "response": "r"}, [U, A]),
+    "system_prompt_response": ({"system": "s", "prompt": "p", "response": "r"}, [S, U, A]),
+    "question_answer": ({"question": "p", "answer": "r"}, [U, A]),
+    "dialog": ({"dialog": {"turns": [{"speaker": "user", "utterance": "p"}]}}, [U]),
+}
+
+
+@pytest.mark.parametrize("name", EVERY_LAYOUT)
+def test_layout_with_extra_and_missing_fields(name):
+    record, want = EVERY_LAYOUT[name]
+    registry = chat.Registry(chat.MAPPINGS)
+    for extra in ({}, {"id": 1}, {"text": "x"}, {"role": "x"}, {"answer": "x"}, {"messages": []}, {"meta": {"prompt": ["x"]}}, {"system": None}):
+        if "system" in extra and name == "prompt_response":
+            continue  # these are the fields of system_prompt_response
+        found, mapping = registry.mapping({**extra, **record})
+        assert found == name and chat.turns({**extra, **record}, mapping) == want
+    for path in record:  # a required field is missing
+        assert registry.mapping({k: v for k, v in record.items() if k != path})[0] in {None, "prompt_response", "instruction"} - {name}
+    if name not in ("turn", "prompt_response", "system_prompt_response"):
+        found, mapping = registry.mapping({**record, "system": "s"})
+        assert found == name and chat.turns({**record, "system": "s"}, mapping) == [S, *want]
+
+
+def test_fields_of_two_layouts_and_lists_of_blocks():
+    registry = chat.Registry(chat.MAPPINGS)
+    said = {"messages": [{"role": "user", "content": [{"type": "text", "text": "p"}]}, {"role": "assistant", "content": ["r"]}]}
+    for extra in ({"prompt": "p"}, {"prompt": "p", "completion": "x"}, {"role": "x", "text": "y"}):
+        name, mapping = registry.mapping({**extra, **said})
+        assert name == "messages" and chat.turns(said, mapping) == [U, A]
+    image = [{"type": "text", "text": "p"}, {"type": "image", "url": "u"}]
+    record = {"messages": [{"role": "user", "content": image}]}
+    assert chat.turns(record, registry.mapping(record)[1]) == [("user", json.dumps(image))]
+
+
+def test_records_of_no_layout_stay_with_a_reason(spark):
+    rows = [(1, 0, json.dumps({"role": "user", "text": "p"})), (1, 1, "{}"), (2, 0, None), (3, 0, "{broken"), (4, 0, '{"prompt": 1}')]
+    formatted = chat.format_turns(chat.canonical_turns(spark.createDataFrame(rows, "c long, t int, j string"), "c", "t", "j"))
+    assert {(r.conv_id, r.seq): r.reason for r in formatted.collect()} == {
+        (1, 0): None, (1, 1): "no known layout", (2, 0): "null record", (3, 0): "broken JSON", (4, 0): "no known layout"
+    }
+    assert {r.conv_id: r.n_turns for r in chat.read_back(formatted).collect()} == {1: 1, 2: 0, 3: 0, 4: 0}
