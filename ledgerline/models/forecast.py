@@ -12,7 +12,9 @@ The input is the monthly series, not the orders. It goes to a checkpoint once, b
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import product
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType
 
+from ledgerline.functions.text import quoted
 from ledgerline.models.least_squares import dot, moments, solve
 from ledgerline.operators.series import in_order, whole
 from ledgerline.session import cut_lineage
@@ -62,10 +65,17 @@ def _with_shocks(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def _by_series(rows: DataFrame, per_series: DataFrame, key: Sequence[str], column: str) -> DataFrame:
     """Rows with one more column that holds a value of their series."""
     if key:
-        return rows.join(per_series.select(*key, column), list(key), "left")
+        return _join(rows, per_series.select(*key, column), key)
     return rows.withColumn(column, per_series.select(column).scalar())
 
 
+def _join(rows: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join in which a null key is a key like any other."""
+    renamed = other.withColumnsRenamed({name: f"_on{i}" for i, name in enumerate(on)})
+    same = [F.col(quoted(name)).eqNullSafe(F.col(f"_on{i}")) for i, name in enumerate(on)]
+    return rows.join(renamed, reduce(and_, same), "left").drop(*[f"_on{i}" for i in range(len(on))])
+
+
 # Positions: own lags 1..3, shock lags 1..3, own lag of one season, shock lag of one season.
 _REGRESSORS = [
     *[("_w", k) for k in range(1, MAX_P + 1)],
@@ -182,7 +192,7 @@ def seasonal_forecast(df: DataFrame, value: str, key: Sequence[str] = (), horizo
         *key,
         F.posexplode(_project(F.col("s.y"), F.col("s._w"), F.col("s._e"), F.col("coefficients"), horizon)).alias("_at", "_model"),
     ).withColumn("step", (F.col("_at") + 1).cast("int"))
-    joined = held_out.join(projected, [*key, "step"], "left")
+    joined = _join(held_out, projected.select(*key, "step", "_model"), [*key, "step"])
     return joined.select(
         *key,
         "month",
@@ -202,6 +212,21 @@ def seasonal_naive(df: DataFrame, value: str, key: Sequence[str] = (), horizon:
     )
 
 
+def holdout_check(df: DataFrame, value: str, key: Sequence[str] = (), horizon: int = SEASON) -> DataFrame:
+    """Root mean squared errors of the forecast and of the value one season earlier over the held-out rows of each
+    series: ``(key, method, n, rmse, naive_rmse)``, over the rows that have both."""
+    made = seasonal_forecast(df, value, key, horizon)
+    naive = seasonal_naive(df, value, key, horizon).select(*key, "step", F.col("forecast").alias("_naive"))
+    both = _join(made, naive, [*key, "step"]).where(F.col("forecast").isNotNull() & F.col("_naive").isNotNull())
+
+    def rmse(name: str) -> Column:
+        return F.sqrt(F.avg((F.col("actual") - F.col(name)) ** 2))
+
+    return both.groupBy(*key, "method").agg(
+        F.count(F.lit(1)).alias("n"), rmse("forecast").alias("rmse"), rmse("_naive").alias("naive_rmse")
+    )
+
+
 def fitted_values(df: DataFrame, value: str, key: Sequence[str] = (), horizon: int = SEASON) -> DataFrame:
     """One-step-ahead fit of the training rows: ``(key, month, actual, fitted)``."""
     train = cut_lineage(with_steps(df.where(F.col(value).isNotNull()), key, horizon).where(F.col("step") == 0))

@@ -222,6 +222,12 @@ def seasonal_arima_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _month_text(forecast.seasonal_forecast(country_volume(spark, sf_dir), "volume", ["country"]))
 
 
+@CATALOG.query()
+def forecast_holdout_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forecast's error beside that of the value one season earlier, per country."""
+    return forecast.holdout_check(country_volume(spark, sf_dir), "volume", ["country"])
+
+
 @CATALOG.query()
 def forecast_per_training_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The retraining job: every training upload has a series and a forecast of its own."""

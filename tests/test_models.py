@@ -236,3 +236,14 @@ def test_a_series_is_an_upload_however_many_files_it_fills(spark, tmp_path):
     assert {(r[0], r[-1]) for r in got[1]} == {("007", "seasonal_arima"), ("7", "seasonal_arima")}
     with pytest.raises(ValueError):
         jobs.JOBS["AremaRetrain"](published=uploads["x"].withColumn("source_file", F.lit("part-0")))
+
+
+def test_a_series_with_a_null_key_has_a_model(spark):
+    rows = [(k, m, float(v)) for k in (None, "a") for m, v in zip(months(84), seasonal(84, 1, 1.0))]
+    frame = spark.createDataFrame(rows, "k string, month date, v double")
+    got = forecast.seasonal_forecast(frame, "v", ["k"]).collect()
+    assert len(got) == 24 and {r.method for r in got} == {"seasonal_arima"}
+    by_key = [[r.forecast for r in sorted(got, key=lambda r: r.step) if r.k == k] for k in (None, "a")]
+    np.testing.assert_allclose(*by_key)
+    checked = {r.k: r for r in forecast.holdout_check(frame, "v", ["k"]).collect()}
+    assert set(checked) == {None, "a"} and all(r.n == 12 and r.rmse < r.naive_rmse for r in checked.values())
