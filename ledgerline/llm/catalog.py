@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 from ledgerline.llm import (
     chat,
     chunk_dedup,
+    conversation_trie,
     fingerprints,
     jaccard_join,
     line_dedup,
+    mixing,
     packing,
     page_text,
     pieces,
     quality_model,
+    resampling,
     rule_ledger,
 )
+from ledgerline.llm.common import Scratch
 from ledgerline.plans.catalog import Catalog
 from ledgerline.session import table
 
@@ -135,3 +139,158 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"})
     records = rows.unionByName(added).select("conv_id", "turn", record.alias("record"))
     return chat.read_back(chat.format_turns(chat.canonical_turns(records, "conv_id", "turn", "record")))
+
+
+_MIX = r"""
+WITH d AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (
+    SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS no
+    FROM d GROUP BY source),
+w AS (SELECT *, 2 * source_size AS cap, [3.0, 1.0, 2.0][((no - 1) % 3 + 1)::INT]::DOUBLE AS weight FROM s),
+steps AS (
+    SELECT coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS capped,
+        sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+    FROM w WINDOW o AS (ORDER BY cap / weight, no)),
+lambda_of AS (
+    SELECT max(((SELECT sum(source_size) FROM s)::DOUBLE * 1.5::DOUBLE - capped) / rest) AS level FROM steps),
+t AS (
+    SELECT source, source_size, least(cap::DOUBLE, level * weight) AS target,
+        floor(least(cap::DOUBLE, level * weight) + 0.5)::BIGINT AS words
+    FROM w, lambda_of),
+line AS (
+    SELECT *, (sum(size) OVER (
+        PARTITION BY source ORDER BY md5('11:' || coalesce(doc_id::VARCHAR, '')), doc_id, size
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size)::BIGINT AS pos
+    FROM d)
+SELECT doc_id, size, source_size, target,
+    CASE WHEN size = 0 THEN 0
+        ELSE words // source_size * size + greatest(0, least(pos + size, words % source_size) - pos) END::BIGINT AS taken
+FROM line JOIN t ON line.source IS NOT DISTINCT FROM t.source
+"""
+
+
+@CATALOG.query(_MIX)
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix of all sources takes."""
+    return mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents")))
+
+
+def _crc_sql(values: str) -> str:
+    """SQL for the CRC-32 of a list of bytes; ``crc_table.steps`` holds the 256 table entries."""
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::BIGINT, {values}), "
+        "lambda c, b: xor(steps[(xor(c, b) & 255) + 1], c >> 8)), 4294967295::BIGINT)"
+    )
+
+
+_CRC_TABLE = """crc_table AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::BIGINT, range(8)), lambda c, ignored:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS steps)"""
+
+_TRIE = f"""
+WITH {_CRC_TABLE},
+t AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+    FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+    SELECT conv_id AS c, conv_id - conv_id % 5 AS base,
+        {_crc_sql("list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)")} % 9 AS h
+    FROM (SELECT DISTINCT conv_id FROM t), crc_table),
+rebuilt AS (
+    SELECT c, row_number() OVER (PARTITION BY c ORDER BY place) AS d, role, text
+    FROM (
+        SELECT c, place, role, text FROM c JOIN t ON t.conv_id = base AND place <= h
+        UNION ALL SELECT c, place, role, text FROM c JOIN t ON t.conv_id = c AND place > h)),
+listed AS (
+    SELECT c.c, coalesce(list({{'r': role, 't': text}} ORDER BY d) FILTER (d IS NOT NULL), []) AS turns
+    FROM c LEFT JOIN rebuilt USING (c) GROUP BY c.c),
+paths AS (SELECT c, len(turns) AS n, unnest(range(len(turns) + 1)) AS depth, turns FROM listed),
+named AS (
+    SELECT c, n, depth, min(c) OVER same AS rep, count(*) OVER same AS n_convs,
+        CASE WHEN depth = 0 THEN 0 ELSE octet_length(encode(turns[depth].t)) END AS bytes
+    FROM paths WINDOW same AS (PARTITION BY depth, turns[1:depth])),
+nodes AS (SELECT c AS conv_id, depth, n_convs, (n_convs - 1) * bytes AS own FROM named WHERE c = rep),
+ups AS (SELECT a.conv_id, a.depth, b.rep AS parent_conv_id FROM nodes a JOIN named b ON b.c = a.conv_id AND b.depth = a.depth - 1),
+kids AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n FROM ups GROUP BY ALL),
+sums AS (
+    SELECT b.rep AS conv_id, b.depth, sum(a.own) AS saved, count(*) FILTER (kids.n IS NULL) AS leaves
+    FROM nodes a LEFT JOIN kids USING (conv_id, depth) JOIN named b ON b.c = a.conv_id AND b.depth <= a.depth
+    GROUP BY ALL),
+ends AS (SELECT rep AS conv_id, depth, string_agg(c::VARCHAR, ',' ORDER BY c) AS names FROM named WHERE depth = n GROUP BY ALL)
+SELECT nodes.conv_id, nodes.depth, parent_conv_id, n_convs, coalesce(kids.n, 0) AS n_children, leaves AS n_leaves,
+    saved::BIGINT AS saved_tokens, sha256(coalesce(names, '')) AS ends_sha256
+FROM nodes LEFT JOIN ups USING (conv_id, depth) LEFT JOIN kids USING (conv_id, depth) JOIN sums USING (conv_id, depth)
+LEFT JOIN ends USING (conv_id, depth)
+"""
+
+
+@CATALOG.query(_TRIE)
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of rebuilt conversations: c starts with up to 8 turns of conversation c - c % 5, then goes on as its own.
+
+    Turns are placed once; a borrowed turn keeps its place, an own one moves by the turns that the base is short of.
+    """
+    scratch = Scratch(spark, "trie")
+    placed = conversation_trie.placed_turns(table(spark, sf_dir, "conversations"), scratch)
+    length = placed.filter("place = 1").select("conv_id", "n_turns")
+    plan = length.select(
+        "conv_id",
+        F.col("n_turns").alias("n_own"),
+        (F.col("conv_id") - F.col("conv_id") % 5).alias("base"),
+        (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).alias("h"),
+    )
+    bases = length.select(F.col("conv_id").alias("base"), F.col("n_turns").alias("n_base"))
+    shared = F.least("h", F.coalesce("n_base", F.lit(0)))
+    plan = plan.join(bases, "base", "left").select(
+        "conv_id", "base", "h", shared.alias("shared"), (shared + F.greatest(F.col("n_own") - F.col("h"), F.lit(0))).alias("n_new")
+    )
+    plan = scratch.table(plan)
+    own = conversation_trie.spread_join(
+        placed, plan, ["conv_id"], F.floor(F.col("place") / conversation_trie.CHUNK)
+    ).filter("place > h")
+    keys = ["key_1", "key_2", "n_bytes"]
+    first = placed.filter("place <= 8").select(F.col("conv_id").alias("base"), "place", *keys)
+    rebuilt = own.select("conv_id", (F.col("place") - F.col("h") + F.col("shared")).alias("place"), F.col("n_new").alias("n_turns"), *keys).unionByName(
+        plan.join(first, "base").filter("place <= h").select("conv_id", "place", F.col("n_new").alias("n_turns"), *keys)
+    )
+    return conversation_trie.trie_of_placed(rebuilt, plan, scratch)
+
+
+_RESAMPLE = rf"""
+WITH {_CRC_TABLE},
+d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents),
+b AS (
+    SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+    FROM benchmark),
+w AS (SELECT doc_id, unnest(words) AS word FROM d),
+coded AS (
+    SELECT word, {_crc_sql("list_transform(range(octet_length(encode(word))), lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::BIGINT)")} % 10000 AS bucket
+    FROM (SELECT word FROM w UNION SELECT word FROM b), crc_table),
+s AS (SELECT bucket, count(*) AS s FROM w JOIN coded USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM b JOIN coded USING (word) GROUP BY bucket),
+gains AS (
+    SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM w) + 10000)::DOUBLE
+        / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM b) + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM s FULL JOIN t USING (bucket)),
+weights AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM w JOIN coded USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+scores AS (
+    SELECT d.doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('2024:' || d.doc_id), 8))::BIGINT + 0.5::DOUBLE)
+            / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM d LEFT JOIN weights USING (doc_id)),
+ranked AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+    FROM scores WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+FROM scores LEFT JOIN ranked USING (doc_id)
+"""
+
+
+@CATALOG.query(_RESAMPLE)
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn by their words' likeness to the benchmark texts."""
+    return resampling.resample(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
