@@ -72,7 +72,7 @@ def grouped_regression(
     """
     names = [*features, *(["intercept"] if intercept else [])]
     if intercept:
-        fitted = _centred(df, key, features, label).withColumn("coefficients", _solve_centred("mean", "cov"))
+        fitted = centred_moments(df, key, features, label).withColumn("coefficients", _solve_centred("mean", "cov"))
     else:
         columns = [F.col(f) for f in features]
         fitted = moments(df, key, columns, F.col(label)).withColumn(
@@ -82,7 +82,7 @@ def grouped_regression(
     return fitted.select(*key, "n", F.inline(pairs).alias("feature", "coefficient"))
 
 
-def _centred(df: DataFrame, key: Sequence[str], features: Sequence[str], label: str) -> DataFrame:
+def centred_moments(df: DataFrame, key: Sequence[str], features: Sequence[str], label: str) -> DataFrame:
     """Per group: ``n``, the means and the row-major population covariances of the features and the label."""
     columns = [F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate([*features, label])]
     rows = df.select(*key, *columns).na.drop(subset=[f"_v{i}" for i in range(len(columns))])

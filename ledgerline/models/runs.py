@@ -12,7 +12,6 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.operators.stats import best_run
 from ledgerline.schemas import RUNS
 
 
@@ -21,9 +20,9 @@ def grid(**values: Sequence[Any]) -> list[dict[str, Any]]:
 
 
 def run_record(
-    job: str, model: str, params: Mapping[str, Any], metric: str, value: float, at: datetime
+    job: str, model: str, params: Mapping[str, Any], metric: str, value: float, at: datetime, path: str | None = None
 ) -> tuple[Any, ...]:
-    return job, model, {k: str(v) for k, v in params.items()}, metric, float(value), at
+    return job, model, {k: str(v) for k, v in params.items()}, metric, float(value), at, path
 
 
 def run_grid(
@@ -34,29 +33,22 @@ def run_grid(
     fit: Callable[..., PipelineModel],
     measure: Callable[[PipelineModel], float],
     parallelism: int = 4,
-) -> tuple[DataFrame, dict[str, PipelineModel]]:
-    """Fit every candidate on Spark, some at a time, and return the run table and the models by job name."""
+    folder: str | None = None,
+) -> DataFrame:
+    """Fit every candidate on Spark, some at a time, and return the run table.
 
-    def run(number: int) -> tuple[PipelineModel, tuple[Any, ...]]:
+    With a ``folder`` each model is saved below it by the thread that fitted it and forgotten; the run's ``path`` says
+    where. So no more than ``parallelism`` models are in memory, and only the one that is wanted is loaded again.
+    """
+
+    def run(number: int) -> tuple[Any, ...]:
         job, params = f"{model}-{number:03d}", candidates[number]
         fitted = fit(**params)
-        return fitted, run_record(job, model, params, metric, measure(fitted), datetime.now())
+        path = f"{folder}/{job}" if folder else None
+        if path:
+            fitted.write().overwrite().save(path)
+        return run_record(job, model, params, metric, measure(fitted), datetime.now(), path)
 
     with ThreadPool(parallelism) as pool:
-        results = pool.map(inheritable_thread_target(spark)(run), range(len(candidates)))
-    runs = spark.createDataFrame([record for _, record in results], RUNS)
-    return runs, {record[0]: fitted for fitted, record in results}
-
-
-def append_runs(runs: DataFrame, folder: str) -> None:
-    runs.write.mode("append").parquet(folder)
-
-
-def keep_best(
-    runs: DataFrame, models: Mapping[str, PipelineModel], metric: str, largest: bool, folder: str
-) -> str:
-    """Save the model of the best run below ``folder`` and return its path."""
-    job = best_run(runs, metric, largest).first()["job"]
-    path = f"{folder}/{job}"
-    models[job].write().overwrite().save(path)
-    return path
+        records = pool.map(inheritable_thread_target(spark)(run), range(len(candidates)), chunksize=1)
+    return spark.createDataFrame(records, RUNS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -104,6 +104,22 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str, key: Sequence
     )
 
 
+def split_metrics(
+    df: DataFrame, actual: str, predicted: str, key: Sequence[str] = (), split: str = "split", places: int = 2
+) -> DataFrame:
+    """``train_rmse, test_rmse, train_mape, test_mape, test_r_squared`` in one pass, rounded half-even; rows of other splits
+    and rows without a prediction do not count."""
+    y, p, side = F.col(actual).cast("double"), F.col(predicted).cast("double"), F.col(split)
+    known = df.where(y.isNotNull() & p.isNotNull() & side.isin("train", "test"))
+
+    def of(kind: str, measure: Callable[[Column, Column], Column]) -> Column:
+        return F.bround(measure(F.when(side == kind, y), F.when(side == kind, p)), places)
+
+    measures = {f"{kind}_{name}": of(kind, m) for name, m in (("rmse", rmse), ("mape", mape)) for kind in ("train", "test")}
+    measures["test_r_squared"] = of("test", r_squared)
+    return known.groupBy(*key).agg(*[measure.alias(name) for name, measure in measures.items()])
+
+
 def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Counts of true and false negatives and positives of a 0/1 classifier, and the accuracy in percent."""
     y, p = F.col(label).cast("int"), F.col(prediction).cast("int")
@@ -120,5 +136,6 @@ def best_run(runs: DataFrame, metric: str, largest: bool) -> DataFrame:
     """Job with the largest or smallest value of a metric; the smaller job name wins a tie."""
     of_metric = runs.where((F.col("metric") == metric) & F.col("value").isNotNull())
     rank = F.struct((-F.col("value") if largest else F.col("value")).alias("v"), F.col("job"))
-    best = F.min_by(F.struct("job", "model", "params", "metric", "value"), rank)
+    known = [c for c in ("job", "model", "params", "metric", "value", "path") if c in runs.columns]
+    best = F.min_by(F.struct(*known), rank)
     return of_metric.agg(best.alias("b")).where(F.col("b").isNotNull()).select("b.*")

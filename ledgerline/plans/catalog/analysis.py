@@ -256,7 +256,7 @@ def monthly_discount_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _month_text(series.monthly_discounts(rows, "received", "Discount", "OrderNetValue", ["country"], places=4))
 
 
-_DECOMPOSED = """
+DECOMPOSED = """
 placed AS (SELECT *, row_number() OVER w - 1 AS pos, count(*) OVER f AS full_rows,
     (sum(volume) OVER f - (lag(volume, 6) OVER w + lead(volume, 6) OVER w) / 2.0) / 12.0 AS t
   FROM volume WINDOW w AS (PARTITION BY country ORDER BY month),
@@ -268,7 +268,7 @@ centred AS (SELECT country, phase, CASE WHEN count(mean) OVER (PARTITION BY coun
 
 
 @CATALOG.query(
-    f"{VOLUMES}, {_DECOMPOSED} SELECT t.country, {_MONTH.replace('(month', '(t.month')}, volume, round(trend, 6) AS trend, "
+    f"{VOLUMES}, {DECOMPOSED} SELECT t.country, {_MONTH.replace('(month', '(t.month')}, volume, round(trend, 6) AS trend, "
     "round(seasonality, 6) AS seasonality, round(volume - trend - seasonality, 6) AS residual "
     "FROM trended t JOIN centred c ON t.country IS NOT DISTINCT FROM c.country AND t.phase = c.phase"
 )
@@ -355,7 +355,7 @@ _FEATURES = [
 
 @CATALOG.query(
     f"{DATED}, volume AS (SELECT 1 AS country, CAST(date_trunc('month', received) AS DATE) AS month, count(UniqueId) AS volume "
-    f"FROM dated WHERE Country = 'Usa' AND CurrencyCode IN ('USD', 'CAD', 'EUR') GROUP BY 2), {_DECOMPOSED}, "
+    f"FROM dated WHERE Country = 'Usa' AND CurrencyCode IN ('USD', 'CAD', 'EUR') GROUP BY 2), {DECOMPOSED}, "
     f"lagged AS (SELECT month, volume, row_number() OVER (ORDER BY month) AS pos, {_LAGS} FROM volume), "
     f"discounts AS (SELECT CAST(date_trunc('month', received) AS DATE) AS month, {_mean_sql('Discount')} AS avg_discount, "
     f"{_mean_sql('OrderNetValue')} AS avg_order_value FROM dated WHERE Country = 'Usa' GROUP BY 1), "

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,13 +15,15 @@ from ledgerline.operators.shaping import apply_mapping
 from ledgerline.plans import adapters, rules
 from ledgerline.plans.catalog import Catalog
 from ledgerline.plans.catalog.cleaning import PUBLISHED, TRIMMED, typed_order_book
-from ledgerline.plans.ingest_log import stamp_log, write_log_version
+from ledgerline.plans.ingest_log import append_log, read_log, stamp_newest
 from ledgerline.schemas import CHURN, ORDER_BOOK_RAW
-from ledgerline.session import scratch_path, table, written
-from ledgerline.sources.files import has_rows, latest_file, list_files, read_csv, read_parquet_zone, read_zone
-from ledgerline.sources.files import with_file
-from ledgerline.sources.sinks import write_zone
+from ledgerline.session import remove, scratch_path, table, written
+from ledgerline.sources.checked import read_rates
+from ledgerline.sources.files import has_rows, latest_file, list_files, read_catalog_table, read_csv, read_parquet_zone
+from ledgerline.sources.files import read_zone, register_zone, with_file
+from ledgerline.sources.sinks import CSV_WRITE, write_zone
 from ledgerline.streaming.incremental import load_new_batches, load_new_rows
+from ledgerline.streaming.rule_pipeline import Zones, load_through_rules
 
 CATALOG = Catalog()
 
@@ -189,6 +194,122 @@ def incremental_batch_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _three_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written(adapters.raw_order_book(spark, sf_dir), "deliveries").withColumn(
+        "delivery", F.col("ordernumber") % 3
+    )
+
+
+@CATALOG.query(
+    f"{PUBLISHED} SELECT UniqueId AS unique_id, Country AS country, OrderNetValue AS net_value, OrderNumber % 3 AS delivery, "
+    "(SELECT count(*) FROM published q WHERE q.OrderNumber % 3 < p.OrderNumber % 3) + row_number() OVER ("
+    "PARTITION BY OrderNumber % 3 ORDER BY UniqueId NULLS FIRST, MarketingGroup NULLS FIRST, OrderNumber) AS s_no "
+    "FROM published p"
+)
+def incremental_rule_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries through both stages, one by one, and the last batch run again as after a crash: its commit is
+    taken back, so the stream repeats it. The sequence number goes on from delivery to delivery."""
+    book = _three_deliveries(spark, sf_dir)
+    schema = book.drop("delivery").schema
+    incoming, transformed, out, progress = (scratch_path(spark, n) for n in ("incoming", "transformed", "published", "progress"))
+    zones = Zones(incoming, transformed, out, progress)
+    names = spark.createDataFrame(
+        [(1, "dropNull"), (2, "customModel"), (3, "getTrimmedDataframe")], "rule_id long, rule_dscrp string"
+    )
+    lists, log = adapters.rule_lists(spark, sf_dir), written(adapters.ingest_log(spark, sf_dir), "log")
+    lists = written(
+        lists.withColumns({rules.RAW_TO_TRANSFORMED: F.lit("1"), rules.TRANSFORMED_TO_PUBLISHED: F.lit("3, 1,2")}), "lists"
+    )
+
+    def load() -> None:
+        load_through_rules(spark, "DS1", schema, ORDER_BOOK_RAW, zones, lambda: (log, lists, names))
+
+    for number in range(3):
+        delivery = book.where(F.col("delivery") == number).drop("delivery")
+        delivery.write.mode("append").options(**CSV_WRITE).csv(incoming)
+        load()
+    remove(spark, f"{progress}/stream/commits/2")
+    load()
+    rows = spark.read.parquet(f"{out}/DS1")
+    return rows.select(
+        F.col("UniqueId").alias("unique_id"),
+        F.col("Country").alias("country"),
+        F.col("OrderNetValue").alias("net_value"),
+        F.col("batch_id").cast("bigint").alias("delivery"),
+        F.col("`S.No`").cast("bigint").alias("s_no"),
+    )
+
+
+@CATALOG.query(
+    f"{TRIMMED} SELECT ordernumber, currencycode, ordergrossvalue FROM book WHERE file_type = 'retraining'"
+)
+def catalog_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A zone as a catalog table: its partitions recovered, one of them read."""
+    zone = scratch_path(spark, "zone")
+    book = typed_order_book(spark, sf_dir).select("ordernumber", "currencycode", "ordergrossvalue", "file_type")
+    write_zone(book, zone, "DS1", "parquet")
+    name = f"ds1_{uuid.uuid4().hex}"
+    register_zone(spark, "zones", name, f"{zone}/DS1", book.schema, ["file_type"])
+    rows = read_catalog_table(spark, "zones", name).where(F.col("file_type") == "retraining")
+    return rows.select("ordernumber", "currencycode", "ordergrossvalue")
+
+
+_RATE_TABLE = f"rates AS ({adapters.named_tables(adapters.RATES_SQL)})"
+
+
+@CATALOG.query(
+    f"WITH {_RATE_TABLE}, marked AS (SELECT *, month(rate_date) AS m FROM rates) "
+    "SELECT currency, count(*) FILTER (m % 6 NOT IN (1, 2, 3)) AS good, count(*) FILTER (m % 6 = 1) AS unreadable, "
+    "count(*) FILTER (m % 6 = 2) AS missing, count(*) FILTER (m % 6 = 3) AS not_positive, "
+    "CAST(sum(usd_rate) FILTER (m % 6 NOT IN (1, 2, 3)) AS DOUBLE) AS rate_sum FROM marked GROUP BY currency"
+)
+def checked_rate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates delivered as text, a half of them spoilt in three ways: read, set aside with the reason, and counted back."""
+    rates = written(adapters.rates(spark, sf_dir), "rates")
+    kind, folder, aside = F.month("rate_date") % 6, scratch_path(spark, "incoming"), scratch_path(spark, "aside")
+    rate = F.when(kind == 3, -F.col("usd_rate")).when(kind != 2, F.col("usd_rate")).cast("string")
+    text = F.when(kind == 1, "n/a").otherwise(rate)
+    spoilt = rates.select("currency", F.col("rate_date").cast("string").alias("rate_date"), text.alias("usd_rate"))
+    spoilt.write.options(**CSV_WRITE).csv(folder)
+    read = read_rates(spark, folder)
+    read.quarantine(aside)
+    good = read.good.groupBy("currency").agg(F.count(F.lit(1)).alias("good"), F.sum("usd_rate").alias("rate_sum"))
+    reasons = {"unreadable": "unreadable", "missing": "missing usd_rate", "not_positive": "usd_rate not above zero"}
+    bad = spark.read.parquet(aside).groupBy(F.substring_index("record", ",", 1).alias("currency")).agg(
+        *[F.count_if(F.col("reason") == reason).alias(name) for name, reason in reasons.items()]
+    )
+    return good.join(bad, "currency", "full").select(
+        "currency", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("good", *reasons)], "rate_sum"
+    )
+
+
+_TEXT = (
+    "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE '  a \"' || o_orderstatus || '\", b' || chr(10) || "
+    "'c,' || chr(92) || chr(13) || chr(10) || o_orderpriority || ' ' END"
+)
+
+
+@CATALOG.query(
+    f"WITH t AS (SELECT o_orderkey AS order_id, {_TEXT} AS remark FROM orders) "
+    "SELECT reader, order_id, remark FROM t, (VALUES ('zone'), ('analytic'), ('incremental')) AS r(reader)"
+)
+def csv_texts_in_all_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with quotes, commas, line breaks, outer blanks and nulls, written as CSV and read by the zone reader, the reader
+    of published files and the incremental load."""
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"), F.expr(_TEXT).alias("remark"))
+    rows = rows.withColumn("file_type", F.lit("training"))
+    zone, target, progress = (scratch_path(spark, n) for n in ("zone", "loaded", "progress"))
+    write_zone(rows, zone, "DS1", "csv")
+    load_new_rows(spark, f"{zone}/DS1", rows.drop("file_type").schema, target, progress, lambda new: new)
+    found = {
+        "zone": read_zone(spark, zone, "DS1", "csv", rows.schema),
+        "analytic": with_file(read_csv(spark, f"{zone}/DS1", rows.schema)),
+        "incremental": spark.read.parquet(target),
+    }
+    parts = [df.select(F.lit(name).alias("reader"), "order_id", "remark") for name, df in found.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _published_zone(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     """Published rows as CSV; the retraining files are written last. The book is computed once."""
     zone = scratch_path(spark, "published")
@@ -229,13 +350,16 @@ def latest_published_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     "THEN 'Retraining' END AS stamped FROM log"
 )
 def ingest_log_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest log row gets the newest published file; the changed log goes to a new version folder."""
+    """The newest log row gets the newest published file: one row more in the log, whose uploads are read at their last
+    version."""
     zone, _ = _published_zone(spark, sf_dir)
-    stamped = stamp_log(adapters.ingest_log(spark, sf_dir), latest_file(list_files(spark, zone)))
-    path = write_log_version(stamped, scratch_path(spark, "log"), 2)
+    folder, uploads = scratch_path(spark, "log"), adapters.ingest_log(spark, sf_dir)
+    append_log(spark, folder, uploads)
+    stamp_newest(spark, folder, latest_file(list_files(spark, zone)), uploads.schema)
+    log = read_log(spark, folder, schema=uploads.schema)
     has_name = F.col("published_file_name").startswith("part-")
     kind = F.when(F.col("published_file_path").contains("file_type=retraining") & has_name, "Retraining")
-    return spark.read.parquet(path).select("file_upld_log_id", "file_src_cd", kind.alias("stamped"))
+    return log.select("file_upld_log_id", "file_src_cd", kind.alias("stamped"))
 
 
 @CATALOG.query(

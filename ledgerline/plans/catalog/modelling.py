@@ -4,21 +4,21 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.models import churn, forecast, least_squares, regression
+from ledgerline.models import churn, forecast, inference, least_squares, regression
 from ledgerline.models.forest import read_nodes, score_forest
 from ledgerline.operators import series, stats
-from ledgerline.plans import adapters, jobs
+from ledgerline.plans import adapters, jobs, results
 from ledgerline.plans.catalog import Catalog
-from ledgerline.plans.catalog.analysis import VOLUMES, country_volume, usa_volume
+from ledgerline.plans.catalog.analysis import DECOMPOSED, FACTORS, REGRESSION_VOLUME, VOLUMES, country_volume, usa_volume
 from ledgerline.plans.catalog.cleaning import published
 from ledgerline.plans.catalog.loading import CHURN_TABLE, LOG
 from ledgerline.schemas import CHURN_FEATURES
 from ledgerline.session import cut_lineage, scratch_path, table, written
 from ledgerline.sources.files import read_csv, read_metric_files
-from ledgerline.sources.sinks import UPLOAD_COLUMN, write_zone
+from ledgerline.sources.sinks import UPLOAD_COLUMN, write_result, write_zone
 
 CATALOG = Catalog()
 
@@ -71,14 +71,79 @@ def money_regression_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitted.withColumn("coefficient", F.round(scaled, 6))
 
 
-@CATALOG.query()
+# The t distribution's density is integrated by Simpson's rule: an independent form of the p-value.
+@CATALOG.query(
+    f"""{VOLUMES}, lagged AS (SELECT country, CAST(volume AS DOUBLE) AS y,
+      CAST(lag(volume, 12) OVER (PARTITION BY country ORDER BY month) AS DOUBLE) AS x FROM volume),
+    s AS (SELECT country, count(*) AS n, regr_slope(y, x) AS slope, regr_intercept(y, x) AS level, regr_sxx(y, x) AS sxx,
+      regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy, avg(x) AS mx FROM lagged WHERE x IS NOT NULL GROUP BY country),
+    e AS (SELECT *, (syy - slope * sxy) / (n - 2) AS rest FROM s WHERE n > 2 AND sxx > 0),
+    r AS (SELECT country, n, 'volume_lag_12' AS feature, slope AS b, sqrt(rest / sxx) AS se FROM e
+      UNION ALL SELECT country, n, 'intercept', level, sqrt(rest * (1.0 / n + mx * mx / sxx)) FROM e),
+    p AS (SELECT *, b / se AS t, n - 2.0 AS f FROM r),
+    area AS (SELECT country, feature, sum(CASE WHEN k IN (0, 4000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END
+        * pow(1 + pow(abs(t) * k / 4000.0, 2) / f, -(f + 1) / 2)) * abs(max(t)) / 12000 AS a
+      FROM p, generate_series(0, 4000) AS g(k) GROUP BY country, feature)
+    SELECT p.country, n, p.feature, round(b, 6) AS coefficient, round(se, 6) AS std_error,
+      round(1 - 2 * a * exp(lgamma((f + 1) / 2) - lgamma(f / 2)) / sqrt(f * pi()), 6) + 0.0 AS p_value
+    FROM p JOIN area ON p.country IS NOT DISTINCT FROM area.country AND p.feature = area.feature"""
+)
+def volume_inference_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Volume on the volume of a year before: coefficients, standard errors and p-values per country in one job."""
+    lagged = series.add_lags(country_volume(spark, sf_dir), "volume", 12, ["country"])
+    found = inference.grouped_inference(lagged, ["country"], ["volume_lag_12"], "volume")
+    rounded = [F.round(c, 6).alias(c) for c in ("coefficient", "std_error", "p_value")]
+    return found.where(F.col("coefficient").isNotNull()).select("country", "n", "feature", *rounded)
+
+
+def _least_squares_sql(features: list[str]) -> str:
+    """Predictions of a regression with intercept on the training rows, by taking each feature's part out of the later
+    ones and out of the label in turn; what is left of the label is the residual."""
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in features)
+    train = f"FILTER (split = 'train' AND {complete}) OVER ()"
+    steps = [
+        "c0 AS (SELECT *, "
+        + ", ".join(f"{c} - avg({c}) {train} AS r_{c}" for c in [*features, "y"])
+        + " FROM split_rows)"
+    ]
+    for i, x in enumerate(features):
+        later = [*features[i + 1 :], "y"]
+        parts = ", ".join(
+            f"r_{c} - r_{x} * (covar_pop(r_{c}, r_{x}) {train}) / (var_pop(r_{x}) {train}) AS r_{c}" for c in later
+        )
+        steps.append(f"c{i + 1} AS (SELECT * REPLACE ({parts}) FROM c{i})")
+    return ", ".join(steps) + f", predicted AS (SELECT month, split, volume, y, y - r_y AS prediction FROM c{len(features)})"
+
+
+_SPLIT_ROWS = f"""{REGRESSION_VOLUME}, {FACTORS.format(how='last')},
+joined AS (SELECT v.month, volume, CAST(volume AS DOUBLE) AS y, cpi, inpi, totci,
+    ln(1 + lag(volume, 1) OVER w) AS volume_lag_1, ln(1 + lag(volume, 2) OVER w) AS volume_lag_2,
+    ln(1 + lag(volume, 3) OVER w) AS volume_lag_3, row_number() OVER w AS pos, count(*) OVER () AS n
+  FROM volume v LEFT JOIN factors f ON v.month = f.month WINDOW w AS (ORDER BY v.month)),
+split_rows AS (SELECT *, CASE WHEN pos <= n - 12 THEN 'train' WHEN pos <= n - 3 THEN 'test' ELSE 'tail' END AS split
+  FROM joined WHERE pos > 3), {_least_squares_sql(regression.FEATURES)}"""
+
+
+@CATALOG.query(
+    f"{_SPLIT_ROWS} SELECT CAST(month AS VARCHAR) AS month, split, volume, round(prediction, 4) AS prediction "
+    "FROM predicted WHERE split <> 'tail'"
+)
 def volume_linear_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _month_text(jobs.linear_predictions(_frame(spark, sf_dir)))
+    predicted = _month_text(jobs.linear_predictions(_frame(spark, sf_dir)))
+    return predicted.withColumn("prediction", F.round("prediction", 4))
 
 
-@CATALOG.query()
+@CATALOG.query(
+    f"{_SPLIT_ROWS} SELECT split, count(*) AS n, round(avg((y - prediction) ** 2), 4) AS mse, "
+    "round(sqrt(avg((y - prediction) ** 2)), 4) AS rmse, round(avg(abs(y - prediction) / nullif(y, 0)) * 100, 4) AS mape, "
+    "round(avg(abs(y - prediction) / nullif(prediction, 0)) * 100, 4) AS mape_by_prediction, "
+    "round(1 - sum((y - prediction) ** 2) / nullif(var_pop(y) * count(*), 0), 4) AS r_squared "
+    "FROM predicted WHERE split <> 'tail' AND prediction IS NOT NULL GROUP BY split"
+)
 def linear_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.regression_metrics(jobs.linear_predictions(_frame(spark, sf_dir)), "volume", "prediction", ["split"])
+    predicted = jobs.linear_predictions(_frame(spark, sf_dir))
+    metrics = stats.regression_metrics(predicted, "volume", "prediction", ["split"])
+    return metrics.withColumns({c: F.round(c, 4) for c in ("mse", "rmse", "mape", "mape_by_prediction", "r_squared")})
 
 
 @CATALOG.query()
@@ -88,7 +153,7 @@ def ols_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @CATALOG.query()
 def volume_forest_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made, _ = jobs.forest_runs(_frame(spark, sf_dir))
+    made = jobs.forest_runs(_frame(spark, sf_dir))
     return made.select("job", "model", F.to_json("params").alias("params"), "metric", "value")
 
 
@@ -164,7 +229,7 @@ def churn_network_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @CATALOG.query()
 def churn_network_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made, _ = jobs.churn_runs(adapters.churn_table(spark, sf_dir))
+    made = jobs.churn_runs(adapters.churn_table(spark, sf_dir))
     return made.select("job", "model", F.to_json("params").alias("params"), "metric", "value")
 
 
@@ -217,6 +282,102 @@ def seasonal_naive_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _month_text(naive).withColumn("step", F.col("step").cast("bigint"))
 
 
+_BEFORE = (
+    f"{VOLUMES}, placed AS (SELECT *, CAST(lag(volume, 12) OVER w AS DOUBLE) AS p, CAST(volume AS DOUBLE) AS y, "
+    "CASE WHEN row_number() OVER w > count(*) OVER (PARTITION BY country) - 12 THEN 'test' ELSE 'train' END AS split "
+    "FROM volume WINDOW w AS (PARTITION BY country ORDER BY month))"
+)
+
+
+@CATALOG.query(
+    f"{_BEFORE}, {DECOMPOSED.replace('placed', 'windowed')}, parts AS (SELECT t.country, CAST(t.month AS VARCHAR) AS month, "
+    "volume, trend, seasonality, volume - trend - seasonality AS residual FROM trended t "
+    "JOIN centred c ON t.country IS NOT DISTINCT FROM c.country AND t.phase = c.phase), "
+    "scores AS (SELECT country, "
+    + ", ".join(
+        f"round_even({start} FILTER (split = '{side}' AND p IS NOT NULL){end}, 2) AS {side}_{name}"
+        for side in ("train", "test")
+        for name, start, end in (("rmse", "sqrt(avg((y - p) ** 2)", ")"), ("mape", "avg(abs(y - p) / nullif(y, 0))", " * 100"))
+    )
+    + " FROM placed GROUP BY country) "
+    "SELECT 'volumes' AS source, country, month, 'volume' AS name, CAST(volume AS DOUBLE) AS value FROM parts "
+    "UNION ALL SELECT 'decomposition', country, month, 'trend', round(trend, 6) FROM parts "
+    "UNION ALL SELECT 'decomposition', country, month, 'seasonality', round(seasonality, 6) FROM parts "
+    "UNION ALL SELECT 'decomposition', country, month, 'residual', round(residual, 6) FROM parts "
+    + "".join(
+        f"UNION ALL SELECT 'baseline', country, NULL, '{side}_{name}', {side}_{name} FROM scores "
+        for side in ("train", "test")
+        for name in ("rmse", "mape")
+    )
+    + "UNION ALL SELECT 'runs', NULL, NULL, 'committed', 1.0"
+)
+def forecast_job_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forecast job's tables, published under one version and read back through it; an attempt that was not committed
+    is not seen."""
+    folder, job = scratch_path(spark, "results"), "volume_forecast"
+    volume = written(country_volume(spark, sf_dir), "volumes")
+    write_result(volume.limit(1), results.attempt_folder(folder, job), "volumes")
+    results.publish_results(spark, folder, job, jobs.forecast_tables(volume, ["country"]))
+
+    def read(name: str) -> DataFrame:
+        return results.read_result(spark, folder, job, name)
+
+    def long(name: str, columns: list[str], month: Column) -> DataFrame:
+        values = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
+        return read(name).select(F.lit(name).alias("source"), "country", month.alias("month"), F.inline(values))
+
+    month, none = F.col("month").cast("string"), F.lit(None).cast("string")
+    parts = long("decomposition", ["trend", "seasonality", "residual"], month).withColumn("value", F.round("value", 6))
+    runs = results.committed_runs(spark, folder, job).agg(F.count(F.lit(1)).cast("double").alias("value"))
+    return (
+        long("volumes", ["volume"], month)
+        .unionByName(parts)
+        .unionByName(long("baseline", ["train_rmse", "train_mape", "test_rmse", "test_mape"], none))
+        .unionByName(
+            runs.select(F.lit("runs").alias("source"), none.alias("country"), none.alias("month"), F.lit("committed").alias("name"), "value")
+        )
+    )
+
+
+@CATALOG.query(
+    f"{VOLUMES}, placed AS (SELECT *, row_number() OVER (PARTITION BY country ORDER BY month) AS pos, "
+    "count(*) OVER (PARTITION BY country) AS n FROM volume) "
+    "SELECT country, pos - (n - 6) AS step, TRUE AS equal FROM placed WHERE pos > n - 6"
+)
+def saved_forecast_goes_on(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts are fitted without the last year and saved; the saved ones are taken on by half a year of new months without a
+    fit, and forecast the other half as the same models do that have seen these months from the start."""
+    key, path = ["country"], scratch_path(spark, "states")
+    volume = written(country_volume(spark, sf_dir), "volumes")
+    stepped = forecast.with_steps(volume, key, 12)
+    models = forecast.held_out_models(volume, "volume", key, 12)
+    forecast.forecast_states(models, key).write.parquet(path)
+    arrived = stepped.where("step BETWEEN 1 AND 6")
+    saved = forecast.advance_states(spark.read.parquet(path), arrived.where("step <= 4"), "volume", key)
+    saved = forecast.advance_states(saved, arrived.where("step >= 3"), "volume", key)  # two months come twice
+    fuller = models.withColumns(
+        {c: F.concat(c, F.slice(F.col("ahead")[f], 1, 6)) for c, f in (("y", "y"), ("months", "month"))}
+    )
+    direct = forecast.forecast_states(fuller, key)
+    both = [forecast.forecast_from_states(s, key, 6).withColumnRenamed("forecast", name) for s, name in ((saved, "a"), (direct, "b"))]
+    joined = both[0].join(both[1].select("country", "month", "b"), ["country", "month"])
+    # A series of fewer than twelve months has nothing to go on from: both are null.
+    same = F.coalesce(F.abs(F.col("a") - F.col("b")) < 1e-6, F.col("a").isNull() & F.col("b").isNull())
+    return joined.select("country", F.col("step").cast("bigint").alias("step"), same.alias("equal"))
+
+
+@CATALOG.query(f"WITH {CHURN_TABLE} SELECT customerid, TRUE AS equal FROM churn")
+def churn_network_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer scored by the network and by the same network saved and loaded."""
+    customers = written(adapters.churn_table(spark, sf_dir), "customers")
+    train, _ = churn.stable_split(customers, "customerid")
+    model, path = churn.fit_network(train), scratch_path(spark, "model")
+    model.write().save(path)
+    direct = churn.score(model, customers).select("customerid", F.col("probability_exit").alias("a"))
+    loaded = churn.score(PipelineModel.load(path), customers).select("customerid", F.col("probability_exit").alias("b"))
+    return direct.join(loaded, "customerid").select("customerid", (F.abs(F.col("a") - F.col("b")) < 1e-9).alias("equal"))
+
+
 @CATALOG.query()
 def seasonal_arima_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _month_text(forecast.seasonal_forecast(country_volume(spark, sf_dir), "volume", ["country"]))

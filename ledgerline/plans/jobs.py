@@ -11,7 +11,7 @@ from ledgerline.functions.dates import parse_us_date
 from ledgerline.models import churn, forecast, regression, runs
 from ledgerline.operators import fx, rfm, series, stats
 from ledgerline.plans.ingest_log import newest_log_row
-from ledgerline.schemas import CHURN_TARGET, MACRO_SERIES
+from ledgerline.schemas import CHURN_TARGET, MACRO_SERIES, RUNS
 from ledgerline.session import cut_lineage, written
 from ledgerline.sources.sinks import PARTITION_COLUMN, UPLOAD_COLUMN
 
@@ -50,6 +50,67 @@ def forecast_per_upload(published: DataFrame) -> DataFrame:
     return forecast.seasonal_forecast(home_volume(training, key=[UPLOAD_COLUMN]), "volume", [UPLOAD_COLUMN])
 
 
+def forecast_tables(volume: DataFrame, key: Sequence[str] = (), horizon: int = forecast.SEASON) -> dict[str, DataFrame]:
+    """What the forecast job publishes of a monthly volume: ``volumes``, ``decomposition``, ``fitted``, ``forecast``, ``metrics`` of
+    the forecast and ``baseline`` ones of the value one season earlier, the ``states`` to go on from, and its ``runs``."""
+    volume = cut_lineage(volume)
+    models = forecast.held_out_models(volume, "volume", key, horizon)
+    fitted, ahead = cut_lineage(forecast.fitted_rows(models, key)), cut_lineage(forecast.forecast_rows(models, key))
+
+    def sides(train: DataFrame, test: DataFrame) -> DataFrame:
+        columns = [*key, "actual", "prediction", "split"]
+        return train.withColumn("split", F.lit("train")).select(columns).unionByName(
+            test.withColumn("split", F.lit("test")).select(columns)
+        )
+
+    made = sides(fitted.withColumnRenamed("fitted", "prediction"), ahead.withColumnRenamed("forecast", "prediction"))
+    before = F.lag("volume", forecast.SEASON).over(series.in_order(key))
+    naive = forecast.with_steps(volume, key, horizon).withColumns({"prediction": before, "actual": F.col("volume")})
+    baseline = sides(naive.where("step = 0"), naive.where("step > 0"))
+    error = stats.split_metrics(made, "actual", "prediction")
+    names = [f.name for f in RUNS if f.name not in ("params", "path")]
+    run = error.select(
+        F.lit("volume_forecast").alias("job"),
+        F.lit("seasonal_arima").alias("model"),
+        F.lit("MAPE").alias("metric"),
+        F.col("test_mape").alias("value"),
+        F.current_timestamp().alias("ts"),
+    ).select(*names)
+    return {
+        "volumes": volume,
+        "decomposition": series.decompose(volume, "volume", key).select(*key, "month", "trend", "seasonality", "residual"),
+        "fitted": fitted,
+        "forecast": ahead,
+        "metrics": stats.split_metrics(made, "actual", "prediction", key),
+        "baseline": stats.split_metrics(baseline, "actual", "prediction", key),
+        "states": forecast.forecast_states(models, key),
+        "runs": run,
+    }
+
+
+def regression_tables(published: DataFrame, macro: DataFrame) -> dict[str, DataFrame]:
+    """What the regression job publishes: ``volumes``, ``fitted`` rows, ``coefficients``, ``correlations`` of the features,
+    ``metrics`` and its ``runs``."""
+    frame = cut_lineage(regression_rows(published, macro))
+    predicted = cut_lineage(linear_predictions(frame))
+    metrics = stats.split_metrics(predicted, "volume", "prediction")
+    run = metrics.select(
+        F.lit("volume_regression").alias("job"),
+        F.lit("linear").alias("model"),
+        F.lit("MAPE").alias("metric"),
+        F.col("test_mape").alias("value"),
+        F.current_timestamp().alias("ts"),
+    )
+    return {
+        "volumes": frame.select("month", "volume"),
+        "fitted": predicted,
+        "coefficients": regression.coefficient_table(frame, regression.FEATURES),
+        "correlations": stats.correlation_matrix(frame, [regression.LABEL, *regression.FEATURES]),
+        "metrics": metrics,
+        "runs": run,
+    }
+
+
 def retraining_forecast(published: DataFrame) -> DataFrame:
     if UPLOAD_COLUMN in published.columns:
         return forecast_per_upload(published)
@@ -75,8 +136,8 @@ def linear_predictions(frame: DataFrame) -> DataFrame:
     return predicted.select("month", "split", "volume", "prediction")
 
 
-def forest_runs(frame: DataFrame, grid: dict[str, list] | None = None) -> tuple[DataFrame, dict]:
-    """One run per forest setting, measured by the percentage error on the test months."""
+def forest_runs(frame: DataFrame, grid: dict[str, list] | None = None, folder: str | None = None) -> DataFrame:
+    """One run per forest setting, measured by the percentage error on the test months; models go to ``folder``."""
     train, test = frame.where(F.col("split") == "train"), frame.where(F.col("split") == "test")
     used = regression.varying(frame, regression.FEATURES)
 
@@ -86,7 +147,7 @@ def forest_runs(frame: DataFrame, grid: dict[str, list] | None = None) -> tuple[
 
     return runs.run_grid(
         frame.sparkSession, "volume_forest", "MAPE", runs.grid(**(grid or FOREST_GRID)),
-        lambda **params: regression.fit_forest(train, used, **params), error,
+        lambda **params: regression.fit_forest(train, used, **params), error, folder=folder,
     )
 
 
@@ -96,7 +157,7 @@ def churn_classifier(customers: DataFrame) -> DataFrame:
     return churn.score(churn.fit_network(train), test).select("customerid", CHURN_TARGET, "probability_exit", "predicted")
 
 
-def churn_runs(customers: DataFrame, grid: dict[str, list] | None = None) -> tuple[DataFrame, dict]:
+def churn_runs(customers: DataFrame, grid: dict[str, list] | None = None, folder: str | None = None) -> DataFrame:
     train, test = churn.stable_split(written(customers, "customers"), "customerid")
 
     def accuracy(model) -> float:
@@ -104,7 +165,7 @@ def churn_runs(customers: DataFrame, grid: dict[str, list] | None = None) -> tup
 
     return runs.run_grid(
         customers.sparkSession, "churn_network", "Accuracy", runs.grid(**(grid or NETWORK_GRID)),
-        lambda **params: churn.fit_network(train, **params), accuracy,
+        lambda **params: churn.fit_network(train, **params), accuracy, folder=folder,
     )
 
 
@@ -113,9 +174,9 @@ JOBS: dict[str, Callable[..., DataFrame]] = {
     "Arema": lambda published, **_: volume_forecast(published),
     "AremaRetrain": lambda published, **_: retraining_forecast(published),
     "lr": lambda published, macro, **_: volume_regression(published, macro),
-    "LinearRetrain": lambda published, macro, **_: forest_runs(cut_lineage(regression_rows(published, macro)))[0],
+    "LinearRetrain": lambda published, macro, **_: forest_runs(cut_lineage(regression_rows(published, macro))),
     "Churn": lambda customers, **_: churn_classifier(customers),
-    "ChurnRetrain": lambda customers, **_: churn_runs(customers)[0],
+    "ChurnRetrain": lambda customers, **_: churn_runs(customers),
 }
 
 

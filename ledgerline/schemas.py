@@ -130,7 +130,7 @@ MACRO = _layout("series string, date date, value double")
 RATES = _layout("currency string, rate_date date, usd_rate double")
 METRIC_FILE = _layout("job string, value double")
 RUNS = _layout(
-    "job string, model string, params map, metric string, value double, ts timestamp"
+    "job string, model string, params map, metric string, value double, ts timestamp, path string"
 )
 
 # The macro-economic series joined to the order volume.

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerline.functions.text import file_name, upload_type
+from ledgerline.functions.text import file_name, quoted, upload_type
 from ledgerline.schemas import METRIC_FILE
 
 
@@ -18,11 +18,11 @@ CSV_OPTIONS = {"header": True, "escape": '"'}
 
 
 def read_csv(
-    spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None, line_breaks: bool = False
+    spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None, line_breaks: bool = True
 ) -> DataFrame:
     """CSV with a header. Without a schema the types are inferred, which reads the data an extra time; a schema is
-    matched to the columns by position. ``line_breaks`` reads texts that hold line breaks; each file is then
-    read by one task, so it is for folders of files of a bounded size, as the zones are."""
+    matched to the columns by position. Texts may hold line breaks, as the zones' do; each file is then read by one
+    task, and zone files have a bounded number of rows. Without ``line_breaks`` large files are split."""
     reader = spark.read.options(**CSV_OPTIONS, multiLine=line_breaks)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
@@ -39,7 +39,7 @@ def read_zone(
     """Read back ``<zone>/<source>``; ``file_type`` comes from the partition folders."""
     path = f"{zone}/{source}"
     if fmt == "csv":
-        return read_csv(spark, path, schema, line_breaks=True)
+        return read_csv(spark, path, schema)
     if fmt == "parquet":
         return read_parquet_zone(spark, path)
     raise ValueError(f"unknown zone format {fmt!r}")
@@ -49,6 +49,22 @@ def read_catalog_table(spark: SparkSession, database: str, name: str) -> DataFra
     return spark.table(f"`{database}`.`{name}`")
 
 
+def register_zone(
+    spark: SparkSession, database: str, name: str, path: str, schema: StructType, partitions: Sequence[str]
+) -> None:
+    """A catalog table over a Parquet zone: its partitions are recovered from the folders, and its statistics taken, so that
+    the planner knows sizes and reads only the partitions that a query asks for. Registering again takes in
+    partitions that were added since."""
+    table = f"`{database}`.{quoted(name)}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    if not spark.catalog.tableExists(f"{database}.{name}"):
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
+        by = ", ".join(map(quoted, partitions))
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({by}) LOCATION '{path}'")
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
+
+
 def has_rows(df: DataFrame) -> bool:
     """True if there is at least one row; stops at the first one instead of counting."""
     return not df.isEmpty()

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 PARTITION_COLUMN = "file_type"
 UPLOAD_COLUMN = "upload_id"
+# Quotes inside a text are doubled and outer blanks kept; the readers' CSV_OPTIONS match.
+CSV_WRITE = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def write_zone(
@@ -28,13 +30,19 @@ def write_zone(
     writer = df.write.mode("append").partitionBy(*folders).option("maxRecordsPerFile", max_rows_per_file)
     path = f"{zone}/{source}"
     if fmt == "csv":
-        writer.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+        writer.options(**CSV_WRITE).csv(path)
     elif fmt == "parquet":
         writer.parquet(path)
     else:
         raise ValueError(f"unknown zone format {fmt!r}")
 
 
+def write_batch(df: DataFrame, path: str) -> DataFrame:
+    """A batch's own folder, replaced as a whole if the batch runs again; returns its rows as written."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_result(df: DataFrame, folder: str, name: str, fmt: str = "parquet") -> str:
     """An analytic result table, replaced as a whole; returns its path."""
     path = f"{folder}/{name}"

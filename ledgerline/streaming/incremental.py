@@ -8,21 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamReader, DataStreamWriter
 from pyspark.sql.types import StructType
 
+from ledgerline.sources.files import CSV_OPTIONS
 
 NO_AGE_LIMIT = "36500d"
 
 
-def _new_files(spark: SparkSession, folder: str, schema: StructType, fmt: str, files_per_batch: int | None) -> DataFrame:
+def new_files(spark: SparkSession, folder: str, schema: StructType, fmt: str, files_per_batch: int | None) -> DataFrame:
     # Spark ignores files much older than the newest one unless told otherwise; a late file is still a new file.
     reader: DataStreamReader = spark.readStream.schema(schema).format(fmt).option("maxFileAge", NO_AGE_LIMIT)
-    if fmt == "csv":
-        reader = reader.option("header", True)
+    if fmt == "csv":  # as the zones are written: quotes inside a text are doubled, texts may hold line breaks
+        reader = reader.options(**CSV_OPTIONS, multiLine=True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(folder)
 
 
-def _run_to_end(writer: DataStreamWriter, progress: str) -> None:
+def run_to_end(writer: DataStreamWriter, progress: str) -> None:
     query = writer.option("checkpointLocation", progress).trigger(availableNow=True).start()
     query.awaitTermination()
 
@@ -41,8 +42,8 @@ def load_new_rows(
 
     The file sink's own commit log makes the result exactly-once; read it with ``spark.read.parquet(target)``.
     """
-    rows = _new_files(spark, folder, schema, fmt, files_per_batch).transform(transform)
-    _run_to_end(rows.writeStream.format("parquet").option("path", target), progress)
+    rows = new_files(spark, folder, schema, fmt, files_per_batch).transform(transform)
+    run_to_end(rows.writeStream.format("parquet").option("path", target), progress)
 
 
 def load_new_batches(
@@ -66,5 +67,5 @@ def load_new_batches(
             load = batch.sparkSession.read.json(f"{progress}/metadata").first()["id"]
             transform(batch).write.mode("overwrite").parquet(f"{target}/load={load}/batch_id={batch_id}")
 
-    rows = _new_files(spark, folder, schema, fmt, files_per_batch)
-    _run_to_end(rows.writeStream.foreachBatch(write), progress)
+    rows = new_files(spark, folder, schema, fmt, files_per_batch)
+    run_to_end(rows.writeStream.foreachBatch(write), progress)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ledgerline import session
 from ledgerline.plans import ingest_log, jobs, rules
 from ledgerline.schemas import CHURN, RULE_LISTS, RULES
-from ledgerline.sources import files, jdbc, sinks
+from ledgerline.sources import checked, commits, files, jdbc, sinks
+from ledgerline.streaming import rule_pipeline
 from ledgerline.streaming.incremental import load_new_batches, load_new_rows
 
 LOG = "file_upld_log_id long, file_src_cd string, file_upld_type string, upld_ts timestamp, published_file_path string, published_file_name string, model string"
@@ -113,10 +114,16 @@ def test_newest_file_and_log_stamp(spark, tmp_path):
         sinks.write_zone(spark.createDataFrame([(1, kind)], "n int, file_type string"), zone, "DS1", "csv")
     newest = files.latest_file(files.list_files(spark, zone))
     assert newest.first().upload_type == "Testing"
-    stamped = ingest_log.stamp_log(log_frame(spark), newest)
-    path = ingest_log.write_log_version(stamped, str(tmp_path / "log"), 1)
-    names = {r.file_upld_log_id: r.published_file_name for r in spark.read.parquet(path).collect()}
+    folder, log = str(tmp_path / "log"), log_frame(spark)
+    assert ingest_log.read_log(spark, folder, schema=log.schema).count() == 0
+    assert ingest_log.append_log(spark, folder, log, log.schema) == 1
+    assert ingest_log.stamp_newest(spark, folder, newest, log.schema) == 2
+    now = ingest_log.read_log(spark, folder, schema=log.schema)
+    names = {r.file_upld_log_id: r.published_file_name for r in now.collect()}
     assert names[3] == newest.first().file_name and names[1] is None and names[2] == "old"
+    assert ingest_log.log_history(spark, folder, schema=log.schema).count() == log.count() + 1  # one row was written
+    earlier = ingest_log.read_log(spark, folder, 1, log.schema)
+    assert {r.file_upld_log_id: r.published_file_name for r in earlier.collect()}[3] is None
     assert files.latest_file(files.list_files(spark, zone, "nothing-*")).collect() == []
 
 
@@ -244,3 +251,158 @@ def test_a_cluster_needs_a_shared_folder():
 
 def test_churn_layout():
     assert len(CHURN) == 15
+
+
+# ---------------------------------------------------------------- version files, the log, checked readers, the pipeline
+
+
+def test_a_version_is_created_once(spark, tmp_path):
+    from multiprocessing.pool import ThreadPool
+
+    folder = str(tmp_path / "versions")
+    assert commits.versions(spark, folder) == []
+    path = commits.version_file(folder, 1)
+    with ThreadPool(8) as pool:
+        made = pool.map(lambda k: commits.create_once(spark, path, f'{{"k": {k}}}'), range(24))
+    assert sum(made) == 1 and commits.read_version(spark, folder, 1)["k"] == made.index(True)
+    with ThreadPool(8) as pool:
+        numbers = pool.map(lambda k: commits.commit(spark, folder, lambda version: {"k": k, "v": version}), range(20))
+    assert sorted(numbers) == list(range(2, 22)) == commits.versions(spark, folder)[1:]
+    assert {commits.read_version(spark, folder, v)["k"] for v in numbers} == set(range(20))
+
+
+def test_two_log_writers_lose_nothing(spark, tmp_path):
+    from multiprocessing.pool import ThreadPool
+
+    folder, log = str(tmp_path / "log"), log_frame(spark)
+    ingest_log.append_log(spark, folder, log, log.schema)
+
+    def add(number):
+        """Each writer adds an upload whose id follows the largest one that it sees."""
+
+        def following(seen):
+            last = seen.agg(F.max("file_upld_log_id")).first()[0]
+            return log.limit(1).withColumns({"file_upld_log_id": F.lit(last + 1), "model": F.lit(f"writer {number}")})
+
+        return ingest_log.append_log(spark, folder, following, log.schema)
+
+    with ThreadPool(4) as pool:
+        versions = pool.map(add, range(6))
+    assert sorted(versions) == list(range(2, 8))
+    now = {r.file_upld_log_id: r.model for r in ingest_log.read_log(spark, folder, schema=log.schema).collect()}
+    assert set(now) == set(range(1, 10)) and {now[k] for k in range(4, 10)} == {f"writer {k}" for k in range(6)}
+    parts = [p for p in (tmp_path / "log" / "rows").iterdir() if p.name.startswith("part=")]
+    assert len(parts) == 7  # what lost attempts wrote is gone
+
+
+def test_checked_files(spark, tmp_path):
+    good = "currency,rate_date,usd_rate\n"
+    (tmp_path / "a.csv").write_text(good + "EUR,2020-01-31,1.1\nCAD,2020-01-31,n/a\nCAD,31.01.2020,0.7\n")
+    (tmp_path / "b.csv").write_text(good + "EUR,2020-02-29\nEUR,2020-02-29,1.2,9\nEUR,,1\nEUR,2020-03-31,-1\n,2020-03-31,1\n")
+    (tmp_path / "c.csv").write_text(good)
+    read = checked.read_rates(spark, str(tmp_path))
+    assert [(r.currency, str(r.rate_date), r.usd_rate) for r in read.good.collect()] == [("EUR", "2020-01-31", 1.1)]
+    assert read.good.select("currency").count() == 1  # the same rows are good whatever is selected
+    reasons = sorted((r.source_file[-5:], r.reason) for r in read.bad.collect())
+    assert reasons == sorted(
+        [("a.csv", "unreadable")] * 2 + [("b.csv", "unreadable")] * 2
+        + [("b.csv", "missing rate_date"), ("b.csv", "usd_rate not above zero"), ("b.csv", "missing currency")]
+    )
+    folder = str(tmp_path / "aside" / "rows")
+    assert read.quarantine(folder) == 7 and read.quarantine(folder) == 7 and spark.read.parquet(folder).count() == 14
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "d.csv").write_text("rate_date,currency,usd_rate\n2020-01-31,EUR,1.1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        checked.read_rates(spark, str(tmp_path / "other")).good.collect()
+    (tmp_path / "macro.txt").write_text("series,date,value\ncpi,2020-01-01,\n,2020-01-01,2\n")
+    macro = checked.read_macro(spark, str(tmp_path / "macro.txt"))
+    assert macro.good.count() == 1 and macro.bad.first().reason == "missing series"
+
+
+def test_registered_zone_reads_only_its_partition(spark, tmp_path):
+    rows = spark.createDataFrame([(i, "training" if i % 3 else "testing") for i in range(30)], "n int, file_type string")
+    sinks.write_zone(rows, str(tmp_path), "DS1", "parquet")
+    try:
+        for expected in (30, 33):
+            files.register_zone(spark, "zone_db", "ds1", str(tmp_path / "DS1"), rows.schema, ["file_type"])
+            assert files.read_catalog_table(spark, "zone_db", "ds1").count() == expected
+            new = spark.createDataFrame([(i, "retraining") for i in range(3)], rows.schema)
+            sinks.write_zone(new, str(tmp_path), "DS1", "parquet")  # a partition that was not there
+        one = files.read_catalog_table(spark, "zone_db", "ds1").where("file_type = 'testing'")
+        assert one.count() == 10
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(file_type" in plan
+        statistics = spark.sql("DESCRIBE EXTENDED zone_db.ds1").where("col_name = 'Statistics'").first()
+        assert "rows" in statistics.data_type
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS zone_db CASCADE")
+
+
+def order_rows(spark, first, n):
+    from ledgerline.schemas import ORDER_BOOK_RAW
+
+    values = {
+        "marketinggroup": F.lit(7), "billtocode": F.lit(1), "ordernumber": F.col("id") + first,
+        "orderreceiveddate": F.lit("05/03/2020"), "custacknwldgmntdate": F.lit("07/03/2020"), "ordergrossvalue": F.lit(10.0),
+        "ordernetvalue": F.lit(8.0), "billtocountryname": F.lit("U.S.A."), "billtoname": F.lit(' a "b",\n c '),
+        "file_type": F.lit("training"),
+    }
+    columns = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ORDER_BOOK_RAW]
+    return spark.range(n).select(*columns)
+
+
+def test_pipeline_by_increments(spark, tmp_path):
+    from ledgerline.schemas import ORDER_BOOK_RAW
+
+    zones = rule_pipeline.Zones(*(str(tmp_path / n) for n in ("in", "transformed", "published", "progress")))
+    known = spark.createDataFrame([(1, "dropNull"), (2, "customModel"), (3, "getTrimmedDataframe")], RULES)
+    asked = []
+
+    def metadata():
+        asked.append(1)
+        lists = spark.createDataFrame([("DS2", "testing", "1", "1"), ("DS1", "training", "1", "3,2")], RULE_LISTS)
+        return log_frame(spark).where("file_upld_log_id = 1"), lists, known
+
+    def deliver(first, n):
+        order_rows(spark, first, n).write.mode("append").options(**sinks.CSV_WRITE).csv(zones.incoming)
+
+    def load():
+        rule_pipeline.load_through_rules(spark, "DS1", ORDER_BOOK_RAW, ORDER_BOOK_RAW, zones, metadata)
+        rows = spark.read.parquet(f"{zones.published}/DS1").orderBy("`S.No`").collect()
+        assert [r["S.No"] for r in rows] == list(range(1, len(rows) + 1))
+        return rows
+
+    deliver(1000, 30)
+    assert len(load()) == 30 and len(asked) == 1
+    deliver(100, 20)
+    rows = load()
+    assert len(rows) == 50 and {r["OrderNumber"] // 1000 for r in rows[:30]} == {1}  # earlier numbers stay
+    assert {r["BillToName"] for r in rows} == {'a "b",\n c'}
+    assert len(load()) == 50 and len(asked) == 2  # nothing new
+    for commit in (tmp_path / "progress" / "stream" / "commits").glob("*1*"):
+        commit.unlink()  # as if the run had ended before the second batch was confirmed
+    assert [tuple(r) for r in load()] == [tuple(r) for r in rows] and len(asked) == 3
+    deliver(5000, 1)
+    assert load()[-1]["OrderNumber"] == 5000
+
+
+def test_pipeline_stops_at_unknown_rules(spark, tmp_path):
+    from ledgerline.schemas import ORDER_BOOK_RAW
+
+    zones = rule_pipeline.Zones(*(str(tmp_path / n) for n in ("in", "transformed", "published", "progress")))
+    order_rows(spark, 1, 2).write.options(**sinks.CSV_WRITE).csv(zones.incoming)
+    known = spark.createDataFrame([(1, "noSuchRule")], RULES)
+    lists = spark.createDataFrame([("DS1", "training", "1", "1")], RULE_LISTS)
+    log = log_frame(spark).where("file_upld_log_id = 1")
+    with pytest.raises(Exception, match="unknown rules"):
+        rule_pipeline.load_through_rules(spark, "DS1", ORDER_BOOK_RAW, ORDER_BOOK_RAW, zones, lambda: (log, lists, known))
+    assert not (tmp_path / "published").exists()
+
+
+def test_incremental_csv_keeps_texts(spark, tmp_path):
+    texts = ['a "q", b', "two\nlines", " padded ", 'mixed, "x"\r\n\\end\\', None, "é,ü"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    folder, target = str(tmp_path / "in"), str(tmp_path / "out")
+    rows.write.options(**sinks.CSV_WRITE).csv(folder)
+    load_new_rows(spark, folder, rows.schema, target, str(tmp_path / "progress"), lambda d: d)
+    assert sorted((r.n, r.t) for r in spark.read.parquet(target).collect()) == list(enumerate(texts))

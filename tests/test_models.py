@@ -8,8 +8,9 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ledgerline.models import churn, forecast, least_squares, regression, runs
+from ledgerline.models import absolute_forest, arma, churn, forecast, inference, least_squares, network, regression, runs
 from ledgerline.models.forest import Node, read_nodes, score_forest
+from ledgerline.plans import jobs, results
 from ledgerline.schemas import CHURN_FEATURES
 
 
@@ -49,7 +50,7 @@ def test_forecast_follows_trend_and_season(spark):
     assert set(long.method) == {"seasonal_arima"}
     assert (long.forecast - long.actual).abs().max() < 8  # the value one season earlier is off by 24
     short = got[got.k == 9]
-    assert set(short.method) == {"seasonal_naive"} and short.forecast.notna().sum() == 8
+    assert set(short.method) == {"seasonal_naive"} and short.forecast.notna().sum() == 8  # too short for a model
     naive = forecast.seasonal_naive(frame.where("k = 0"), "v", ["k"]).toPandas()
     assert 20 < (naive.actual - naive.forecast).mean() < 28
 
@@ -61,7 +62,7 @@ def test_one_series_without_a_key(spark):
     fitted = forecast.fitted_values(frame, "v").toPandas()
     assert len(fitted) == 72 and (fitted.actual - fitted.fitted).abs().mean() < 3
     with pytest.raises(ValueError):
-        forecast.seasonal_forecast(frame, "v", horizon=13)
+        forecast.seasonal_forecast(frame, "v", horizon=0)
 
 
 @pytest.fixture(scope="module")
@@ -98,16 +99,20 @@ def test_months_without_factors_have_no_prediction(frame):
 def test_forest_grid_and_best_run(spark, frame, tmp_path):
     used = regression.varying(frame, regression.FEATURES)
     train = frame.where("split = 'train'")
-    made, models = runs.run_grid(
+    made = runs.run_grid(
         spark, "forest", "MAPE", runs.grid(feature_subset=["all", "sqrt"], num_trees=[2, 5]),
         lambda **p: regression.fit_forest(train, used, **p),
-        lambda m: float(m.stages[-1].getNumTrees),
+        lambda m: float(m.stages[-1].getNumTrees), folder=str(tmp_path / "models"),
     )
     rows = made.orderBy("job").collect()
-    assert [r.params["num_trees"] for r in rows] == ["2", "5", "2", "5"] and len(models) == 4
-    runs.append_runs(made, str(tmp_path / "runs"))
-    path = runs.keep_best(spark.read.parquet(str(tmp_path / "runs")), models, "MAPE", False, str(tmp_path / "models"))
-    assert path.endswith("forest-000") and PipelineModel.load(path).stages[-1].getNumTrees == 2
+    assert [r.params["num_trees"] for r in rows] == ["2", "5", "2", "5"]
+    assert [PipelineModel.load(r.path).stages[-1].getNumTrees for r in rows] == [2, 5, 2, 5]
+    folder = str(tmp_path / "results")
+    with pytest.raises(ValueError):
+        results.best_model(spark, folder, "forest", "MAPE", False)
+    assert results.publish_results(spark, folder, "forest", {"runs": made, "rows": train}) == 1
+    assert results.best_model(spark, folder, "forest", "MAPE", False).stages[-1].getNumTrees == 2
+    assert results.best_model(spark, folder, "forest", "MAPE", True).stages[-1].getNumTrees == 5
 
 
 def customers(spark, n=400):
@@ -214,7 +219,7 @@ def test_months_without_factors_stay(spark):
 
 
 def test_a_series_is_an_upload_however_many_files_it_fills(spark, tmp_path):
-    from ledgerline.plans import jobs
+    from ledgerline.plans import jobs, results
     from ledgerline.sources.files import read_csv
     from ledgerline.sources.sinks import write_zone
 
@@ -247,3 +252,279 @@ def test_a_series_with_a_null_key_has_a_model(spark):
     np.testing.assert_allclose(*by_key)
     checked = {r.k: r for r in forecast.holdout_check(frame, "v", ["k"]).collect()}
     assert set(checked) == {None, "a"} and all(r.n == 12 and r.rmse < r.naive_rmse for r in checked.values())
+
+
+# ---------------------------------------------------------------- product form, states, inference, published results
+
+
+def plain_residuals(w, orders, b):
+    """The recursion of the product form, written out term by term."""
+    p, q, sp, sq = orders
+    phi, theta, big_phi, big_theta = b[:p], b[p : p + q], b[p + q : p + q + sp], b[p + q + sp :]
+    ar = {0: 1.0, **{k + 1: -c for k, c in enumerate(phi)}}
+    sar = {0: 1.0, **{12 * (k + 1): -c for k, c in enumerate(big_phi)}}
+    ma = {0: 1.0, **{k + 1: c for k, c in enumerate(theta)}}
+    sma = {0: 1.0, **{12 * (k + 1): c for k, c in enumerate(big_theta)}}
+    e = []
+    for t in range(len(w)):
+        value = sum(a * s * w[t - i - j] for i, a in ar.items() for j, s in sar.items() if t - i - j >= 0)
+        value -= sum(a * s * e[t - i - j] for i, a in ma.items() for j, s in sma.items() if i + j and t - i - j >= 0)
+        e.append(value)
+    return np.array(e)
+
+
+@pytest.mark.parametrize("orders", [(0, 0, 0, 0), (3, 0, 0, 0), (0, 2, 0, 2), (2, 1, 1, 1), (3, 3, 2, 2)])
+def test_product_form_residuals(orders):
+    rng = np.random.default_rng(sum(orders))
+    w, points = rng.normal(size=70), [rng.uniform(-0.4, 0.4, sum(orders)) for _ in range(3)]
+    found = arma.residuals(w, orders, points)
+    for column, b in zip(found.T, points):
+        np.testing.assert_allclose(column, plain_residuals(w, orders, b), atol=1e-9)
+
+
+def test_fit_finds_the_product_model():
+    rng = np.random.default_rng(4)
+    e = rng.normal(size=3000)
+    w = e.copy()
+    w[1:] -= 0.5 * e[:-1]
+    w[12:] -= 0.6 * e[:-12]
+    w[13:] += 0.3 * e[:-13]
+    b, total = arma.fit(w, (0, 1, 0, 1))
+    np.testing.assert_allclose(b, [-0.5, -0.6], atol=0.06)
+    assert total / 3000 == pytest.approx(1, abs=0.08)
+    assert not arma.stable((1, 0, 0, 0), [1.01]) and not arma.stable((0, 1, 0, 0), [-1.0]) and arma.stable((0, 0, 0, 0), [])
+
+
+def test_advancing_equals_one_pass():
+    rng = np.random.default_rng(9)
+    y = np.cumsum(rng.normal(size=90)) + np.tile(np.arange(12.0), 8)[:90]
+    orders, b = (2, 1, 1, 1), np.array([0.3, -0.2, 0.4, 0.2, -0.5])
+    state, expected = arma.advance(arma.tails(y[:60], orders, b), orders, b, y[60:75])
+    for one, other in zip(state, arma.tails(y[:75], orders, b)):
+        np.testing.assert_allclose(one, other, atol=1e-8)
+    shocks = arma.residuals(arma.difference(y), orders, [b])[:, 0]
+    np.testing.assert_allclose(y[60:75] - expected, shocks[47:62], atol=1e-8)
+
+
+def airline(n, seed):
+    """A series of the product model with shocks that carry over a month and a year."""
+    rng = np.random.default_rng(seed)
+    e = rng.normal(size=n + 13)
+    w = e[13:] - 0.6 * e[12:-1] - 0.7 * e[1:-12] + 0.42 * e[:-13]
+    y = list(50 + 10 * np.sin(np.arange(13)))
+    for step in w[13:]:
+        y.append(step + y[-1] + y[-12] - y[-13])
+    return y[:n]
+
+
+def test_long_horizon_long_series_and_choice(spark):
+    rows = [(k, m, float(v)) for k in range(6) for m, v in zip(months(240), airline(240, k))]
+    frame = spark.createDataFrame(rows, "k int, month date, v double")
+    got = forecast.seasonal_forecast(frame, "v", ["k"], horizon=30)
+    assert got.groupBy("k").count().where("count = 30").count() == 6 and got.where("forecast IS NULL").count() == 0
+    checked = forecast.holdout_check(frame, "v", ["k"]).collect()
+    assert sum(r.rmse**2 for r in checked) <= sum(r.naive_rmse**2 for r in checked)
+    assert "seasonal_arima" in {r.method for r in checked}
+    walk = [(m, float(v)) for m, v in zip(months(100), np.tile(np.random.default_rng(2).normal(size=12) * 50, 9))]
+    same = forecast.seasonal_forecast(spark.createDataFrame(walk, "month date, v double"), "v").collect()
+    assert all(abs(r.actual - r.forecast) < 1e-6 for r in same)  # the same every year
+
+
+def test_forecast_of_odd_series(spark):
+    schema = "k string, month date, v double"
+    rows = [("short", m, 1.0) for m in months(5)] + [("gap", m, None if i % 9 == 4 else float(i)) for i, m in enumerate(months(80))]
+    rows += [("flat", m, 7.0) for m in months(60)] + [("none", m, None) for m in months(40)]
+    got = forecast.seasonal_forecast(spark.createDataFrame(rows, schema), "v", ["k"]).collect()
+    counts = {k: sum(r.k == k for r in got) for k in ("short", "gap", "flat", "none")}
+    assert counts == {"short": 5, "gap": 12, "flat": 12, "none": 0}
+    assert all(r.forecast is None for r in got if r.k == "short")
+    assert all(r.forecast == pytest.approx(7.0) for r in got if r.k == "flat")
+    empty = spark.createDataFrame([], schema)
+    assert forecast.seasonal_forecast(empty, "v", ["k"]).count() == 0 and forecast.seasonal_forecast(empty, "v").count() == 0
+    assert forecast.forecast_states(forecast.held_out_models(empty, "v", ["k"]), ["k"]).count() == 0
+
+
+def test_saved_forecasts_go_on(spark, tmp_path):
+    rows = [(k, m, float(v)) for k in (None, "a") for m, v in zip(months(84), seasonal(84, 1, 1.0))]
+    rows += [("short", m, float(i)) for i, m in enumerate(months(30))]
+    frame = spark.createDataFrame(rows, "k string, month date, v double")
+    models = forecast.held_out_models(frame, "v", ["k"], 12)
+    path = str(tmp_path / "states")
+    forecast.forecast_states(models, ["k"]).write.parquet(path)
+    states = spark.read.parquet(path)
+    assert states.where("size(y) > 27").count() == 0
+    ahead = forecast.forecast_from_states(states, ["k"], 12).collect()
+    want = {(r.k, r.month): r.forecast for r in forecast.forecast_rows(models, ["k"]).collect()}
+    assert len(ahead) == 36 and all(r.forecast == pytest.approx(want[r.k, r.month]) for r in ahead)
+    moved = forecast.advance_states(states, frame, "v", ["k"])  # months that were seen do not count again
+    assert {(r.k, str(r.last_month)) for r in moved.collect()} == {(None, "2001-12-01"), ("a", "2001-12-01"), ("short", "1997-06-01")}
+    again = forecast.advance_states(moved, frame, "v", ["k"])
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, moved.collect()))
+    next_year = forecast.forecast_from_states(moved, ["k"], 12).where("k = 'a'").orderBy("step").collect()
+    true = [100 + 10 + 2 * i + 30 * np.sin(2 * np.pi * i / 12) for i in range(84, 96)]
+    assert max(abs(r.forecast - v) for r, v in zip(next_year, true)) < 10
+
+
+def test_grouped_inference(spark):
+    rng = np.random.default_rng(12)
+    rows, want = [], {}
+    for k in (None, "a", "b"):
+        x = rng.normal(size=(50, 3)) * [1, 1e3, 0.1] + [1e6, 0, 5]
+        y = 3 * x[:, 0] - 0.01 * x[:, 1] + rng.normal(size=50)
+        rows += [(k, *map(float, r), float(v)) for r, v in zip(x, y)]
+        for intercept in (True, False):
+            a = np.column_stack([x, np.ones(50)]) if intercept else x
+            b = np.linalg.lstsq(a, y, rcond=None)[0]
+            rest = ((y - a @ b) ** 2).sum() / (50 - a.shape[1])
+            scale = np.sqrt((a**2).sum(axis=0))
+            want[k, intercept] = b, np.sqrt(rest * np.diag(np.linalg.inv((a / scale).T @ (a / scale)))) / scale
+    rows += [("flat", 1.0, float(i), 2.0, float(i)) for i in range(9)] + [("few", 1.0, 2.0, 3.0, 4.0)] * 3
+    frame = spark.createDataFrame(rows, "k string, x0 double, x1 double, x2 double, y double")
+    for intercept in (True, False):
+        found = inference.grouped_inference(frame, ["k"], ["x0", "x1", "x2"], "y", intercept).collect()
+        for r in found:
+            if r.k in ("flat", "few"):
+                assert r.coefficient is None and r.p_value is None
+                continue
+            at = ["x0", "x1", "x2", "intercept"].index(r.feature)
+            b, errors = (v[at] for v in want[r.k, intercept])
+            assert r.coefficient == pytest.approx(b, rel=1e-4, abs=1e-6) and r.std_error == pytest.approx(errors, rel=1e-4)
+            assert 0 <= r.p_value <= 1 and r.t == pytest.approx(r.coefficient / r.std_error)
+    assert inference.grouped_inference(frame.limit(0), ["k"], ["x0"], "y").count() == 0
+
+
+def test_t_probabilities():
+    # Two-sided points of the t distribution from printed tables.
+    for freedom, t, p in ((1, 12.706, 0.05), (5, 2.571, 0.05), (10, 3.169, 0.01), (30, 2.042, 0.05), (120, 2.617, 0.01)):
+        assert inference.two_sided(t, freedom) == pytest.approx(p, rel=2e-3)
+    assert inference.two_sided(0.0, 7) == pytest.approx(1) and inference.two_sided(1e9, 7) < 1e-30
+    np.testing.assert_allclose(inference.two_sided(np.array([1.0, 3.0]), 1), 1 - 2 * np.arctan([1.0, 3.0]) / np.pi, atol=1e-12)
+
+
+def test_published_results_are_whole(spark, tmp_path):
+    folder, rows = str(tmp_path), spark.range(3)
+    with pytest.raises(ValueError):
+        results.read_result(spark, folder, "job", "a")
+    assert results.publish_results(spark, folder, "job", {"a": rows, "b": rows}) == 1
+    place = results.attempt_folder(folder, "job")
+    rows.limit(1).write.parquet(f"{place}/a")  # an attempt that stopped before its version
+    assert results.read_result(spark, folder, "job", "a").count() == 3
+    assert results.publish_results(spark, folder, "job", {"a": rows.limit(2)}) == 2
+    assert results.read_result(spark, folder, "job", "a").count() == 2
+    assert results.read_result(spark, folder, "job", "b", 1).count() == 3
+    with pytest.raises(ValueError):
+        results.read_result(spark, folder, "job", "b")
+    assert results.committed_runs(spark, folder, "job").count() == 0
+
+
+def test_regression_job_tables(spark):
+    rng = np.random.default_rng(8)
+    volume = spark.createDataFrame([(m, int(90 + rng.integers(30))) for m in months(60)], "month date, volume long")
+    tables = jobs.forecast_tables(volume)
+    assert tables["volumes"].count() == 60 and tables["forecast"].count() == 12 and tables["fitted"].count() == 48
+    (row,) = tables["metrics"].collect()
+    made = tables["forecast"].toPandas()
+    assert row.test_rmse == pytest.approx(np.sqrt(((made.actual - made.forecast) ** 2).mean()), abs=0.006)
+    (run,) = tables["runs"].collect()
+    assert run.metric == "MAPE" and run.value == row.test_mape
+
+
+# ---------------------------------------------------------------- the network
+
+
+def plain_loss(weights, sizes, x, y):
+    for k, (matrix, constants) in enumerate(network.layers(weights, sizes)):
+        x = x @ matrix + constants
+        x = x if k == len(sizes) - 1 else np.maximum(x, 0)
+    p = 1 / (1 + np.exp(-x[:, 0]))
+    return -(y * np.log(p) + (1 - y) * np.log(1 - p)).sum()
+
+
+def test_network_gradient(spark):
+    rng = np.random.default_rng(6)
+    sizes = network.shapes(4, (3, 2))
+    weights = rng.normal(size=sum((a + 1) * b for a, b in sizes))
+    x, y = rng.normal(size=(60, 4)), rng.integers(2, size=60).astype(float)
+    slope, loss = network.gradient(weights, sizes, x, y)
+    assert loss == pytest.approx(plain_loss(weights, sizes, x, y))
+    for k in range(len(weights)):
+        step = np.zeros_like(weights)
+        step[k] = 1e-6
+        numeric = (plain_loss(weights + step, sizes, x, y) - plain_loss(weights - step, sizes, x, y)) / 2e-6
+        assert slope[k] == pytest.approx(numeric, abs=1e-4)
+    frame = spark.createDataFrame([(list(map(float, r)), float(t)) for r, t in zip(x, y)], "x array<double>, y double")
+    summed, total, n = network.summed_gradient(frame.repartition(5), weights, sizes)
+    np.testing.assert_allclose(summed, slope, atol=1e-9)
+    assert total == pytest.approx(loss) and n == 60
+    assert network.summed_gradient(frame.limit(0), weights, sizes)[2] == 0
+
+
+def test_network_learns_and_is_saved(spark, tmp_path):
+    rows = customers(spark, 600)
+    train, test = churn.stable_split(rows, "customerid")
+    made = network.fit_network(train, epochs=12, batches=3)
+    assert made.losses[-1] < made.losses[0] / 4 and network.accuracy(made, test) > 95
+    made.save(str(tmp_path / "n"))
+    loaded = network.Network.load(spark, str(tmp_path / "n"))
+    one, two = (n.score(rows).orderBy("customerid").select("probability_exit").collect() for n in (made, loaded))
+    assert one == two and len(one) == 600
+    x = np.array(made.encoder.transform(rows).orderBy("customerid").select(vector_to_array("features").alias("v")).toPandas().v.tolist())
+    for k, (matrix, constants) in enumerate(network.layers(made.weights, made.sizes)):
+        x = x @ matrix + constants
+        x = x if k == len(made.sizes) - 1 else np.maximum(x, 0)
+    np.testing.assert_allclose([r[0] for r in one], 1 / (1 + np.exp(-x[:, 0])), atol=1e-9)
+
+
+# ---------------------------------------------------------------- the forest by absolute error
+
+
+def plain_tree(x, y, depth, min_leaf):
+    """A tree by trying every cut of every feature."""
+    total = np.abs(y - np.median(y)).sum()
+    best = None
+    for f in range(x.shape[1]):
+        for value in np.unique(x[:, f])[:-1]:
+            left = x[:, f] <= value
+            if min(left.sum(), (~left).sum()) >= min_leaf:
+                error = sum(np.abs(y[s] - np.median(y[s])).sum() for s in (left, ~left))
+                if best is None or error < best[0] - 1e-9:
+                    best = (error, f, value)
+    if not depth or best is None or best[0] >= total - 1e-9:
+        return lambda row: np.median(y)
+    _, f, value = best
+    left = x[:, f] <= value
+    below = [plain_tree(x[s], y[s], depth - 1, min_leaf) for s in (left, ~left)]
+    return lambda row: below[int(row[f] > value)](row)
+
+
+@pytest.mark.parametrize("depth,min_leaf", [(0, 1), (1, 4), (2, 1), (4, 3)])
+def test_tree_equals_brute_force(spark, depth, min_leaf):
+    rng = np.random.default_rng(depth)
+    x = rng.integers(0, 9, (70, 3)).astype(float)
+    y = np.round(x[:, 0] * 3 - (x[:, 1] > 4) * 10 + rng.normal(size=70) * 2)
+    frame = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], "a double, b double, c double, y double")
+    made = absolute_forest.fit_forest(frame.repartition(3), ["a", "b", "c"], "y", 1, depth, min_leaf, bootstrap=False)
+    plain = plain_tree(x, y, depth, min_leaf)
+    got = made.predict(frame).collect()
+    assert all(r.prediction == pytest.approx(plain([r.a, r.b, r.c])) for r in got)
+
+
+def test_absolute_forest(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 3))
+    y = np.where(x[:, 0] > 0, 50, 0) + x[:, 1] + rng.normal(size=400)
+    y[::40] += 5000  # medians do not follow outliers
+    schema = "a double, b double, c double, y double"
+    frame = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], schema)
+    made = absolute_forest.fit_forest(frame, ["a", "b", "c"], "y", 8, 4, 5, take=2)
+    again = absolute_forest.fit_forest(frame.repartition(7), ["a", "b", "c"], "y", 8, 4, 5, take=2)
+    assert made.trees == again.trees and len({tuple(t.cut) for t in made.trees}) > 1
+    got = made.predict(frame).toPandas()
+    near = np.abs(got.prediction - np.where(got.a > 0, 50, 0))
+    assert near.median() < 5
+    odd = spark.createDataFrame([(None, 1.0, 1.0, 1.0), (1e9, -1e9, 0.0, None)], schema)
+    assert [r.prediction is None for r in made.predict(odd).collect()] == [True, False]
+    none = absolute_forest.fit_forest(frame.limit(0), ["a"], "y", 2, 3)
+    assert [r.prediction for r in none.predict(odd.where("a > 0")).collect()] == [0.0]
+    copies = absolute_forest.drawn_copies(np.arange(20_000), 3, 0)
+    assert copies.mean() == pytest.approx(1, abs=0.05) and (copies == 0).mean() == pytest.approx(np.exp(-1), abs=0.03)
