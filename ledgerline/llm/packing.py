@@ -13,7 +13,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
-from unicodedata import is_normalized
+from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +29,11 @@ _SALTS = 32
 class WordIds:
     """The little-endian 32-bit ids of texts, as bytes.
 
-    The tokenizer lower-cases, turns white space into one blank, and splits letters from marks and at blanks, so no
-    token crosses a blank, or a full stop or comma behind a letter. Words can be encoded one by one, without regard
-    to the case of A-Z, and remembered; the words of a batch that are new are encoded together. Two generations of
-    remembered words are kept, each of ``most`` characters at most and a batch.
+    The tokenizer lower-cases, composes, turns white space into one blank, and splits letters from marks and at blanks, so
+    no token crosses a blank, or a full stop or comma behind what is a single letter also after that (some letters become
+    a letter and a mark). Words can be encoded one by one, without regard to the case of A-Z, and remembered; the words
+    of a batch that are new are encoded together. Two generations of remembered words are kept, each of ``most``
+    characters at most and a batch.
     """
 
     def __init__(self, file: str, most: int = 6_000_000) -> None:
@@ -65,7 +66,7 @@ class WordIds:
         again = new & self.older.keys()
         self.known.update((word, self.older[word]) for word in again)
         new -= again
-        ended = [word for word in new if word[-1:] in _STOPS and word[-2:-1].isalpha()]
+        ended = [word for word in new if word[-1:] in _STOPS and _stays_a_letter(word[-2:-1])]
         stems = new.difference(ended)
         stems.update(_STOPS, (word[:-1] for word in ended))
         self._encode_new(list(stems.difference(self.known)))
@@ -78,6 +79,16 @@ class WordIds:
 
 
 _STOPS = (".", ",")
+
+
+def _stays_a_letter(character: str) -> bool:
+    """True for a letter that is one letter after lower-casing and composition too."""
+    if character.isascii():
+        return character.isalpha()
+    changed = normalize("NFC", character.lower())
+    return character.isalpha() and len(changed) == 1 and changed.isalpha()
+
+
 # Byte-level letters: a printable Latin-1 byte stands for itself, the others for letters from U+0100 on.
 _OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_LETTERS = dict(zip([b for b in range(256) if b not in _OWN], map(chr, range(256, 512))))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import unicodedata
 import zlib
 from collections import defaultdict
 
@@ -63,6 +64,18 @@ def test_packing_fills_sequences(spark, tokenizer):
     assert len(sequences) == len(plain_best_fit([w[3] for w in want], capacity))
 
 
+def test_every_letter_before_a_stop():
+    """Whatever a letter becomes in the tokenizer, the word's ids are those of the word as a whole."""
+    encoder = packing.WordIds(packing.tokenizer_file("word_bpe_49k.json"))
+    letters = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) not in ("Cn", "Co", "Cs")]
+    made = [f"a{c}{stop}" for c in letters for stop in ".,"] + [f"{c}." for c in letters]
+    for at in range(0, len(made), 20_000):
+        some = made[at : at + 20_000]
+        whole = encoder.tokenizer.encode_batch(some, add_special_tokens=False)
+        wrong = [w for w, ids, e in zip(some, encoder.encode(some), whole) if ids != packing._packed(e.ids)]
+        assert not wrong, wrong[:10]
+
+
 def plain_best_fit(lengths, capacity):
     rooms = []
     for length in sorted(lengths, reverse=True):
