@@ -34,12 +34,13 @@ def _line_keys(text: Column, min_chars: int) -> Column:
 
 
 def frequent_line_flags(docs: DataFrame, min_documents: int = 10, min_chars: int = 1) -> DataFrame:
-    """``docs`` with ``_ll_flags``: per line, whether its key is found in ``min_documents`` documents or more; null
-    if no line is.
+    """``docs`` with ``_ll_flags``: per line up to the last one that goes, whether its key is found in ``min_documents``
+    documents or more; null if no line is.
 
-    A key is the line with ASCII white space stripped and A-Z lower-cased; shorter keys than ``min_chars`` are never
-    counted. Each row is a document; rows equal in id and text each count. Only hashes are shuffled by line; a
-    frequent line is pre-counted before the shuffle. A null text is one empty line.
+    A key is the line with ASCII white space stripped and A-Z lower-cased; shorter keys than ``min_chars``, such as those
+    of blank lines, are neither counted nor joined. Rows with one ``doc_id`` are one document; all rows without an id are
+    one too. Only hashes are shuffled by line, and only frequent lines come back to their documents. A null text is
+    one empty line.
     """
     scratch = Scratch(docs.sparkSession, "lines")
     me = docs.select(
@@ -49,33 +50,35 @@ def frequent_line_flags(docs: DataFrame, min_documents: int = 10, min_chars: int
     )
     keyed = scratch.table(me)
     frequent = (
-        keyed.select(F.explode(F.array_distinct(F.filter("keys", lambda k: k.isNotNull()))).alias("key"))
-        .select("key.a", "key.b")
+        keyed.select("_ll_id", F.explode(F.array_distinct(F.filter("keys", lambda k: k.isNotNull()))).alias("key"))
+        .select("key.a", "key.b", F.struct("_ll_id").alias("document"))
         .groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("documents"))
+        .agg(F.count_distinct("document").alias("documents"))
         .filter(F.col("documents") >= min_documents)
-        .select("a", "b", F.lit(True).alias("dropped"))
+        .select("a", "b")
     )
-    lines = keyed.select("_ll_id", "_ll_text", F.posexplode("keys").alias("pos", "key"))
-    lines = lines.select("_ll_id", "_ll_text", "pos", "key.a", "key.b").join(frequent, ["a", "b"], "left")
-    flags = (
-        lines.groupBy("_ll_id", "_ll_text")
-        .agg(
-            F.array_sort(F.collect_set(F.struct("pos", F.coalesce("dropped", F.lit(False)).alias("dropped")))).alias("all"),
-            F.max("dropped").alias("any"),
-        )
-        .filter("any")
-        .select("_ll_id", "_ll_text", F.col("all.dropped").alias("_ll_flags"))
-    )
-    flags = scratch.table(flags)
+    lines = keyed.select("_ll_id", "_ll_text", F.posexplode("keys").alias("pos", "key")).filter("key IS NOT NULL")
+    lines = lines.select("_ll_id", "_ll_text", "pos", "key.a", "key.b").join(frequent, ["a", "b"])
+    flags = lines.groupBy("_ll_id", "_ll_text").agg(F.array_sort(F.collect_set("pos")).alias("places"))
+    flags = scratch.table(flags.select("_ll_id", "_ll_text", _flags_at(F.col("places")).alias("_ll_flags")))
     scratch.drop(keyed)
     same = F.col("doc_id").eqNullSafe(F.col("_ll_id")) & (text_key(F.col("text")) == F.col("_ll_text"))
     return docs.join(flags, same, "left").select(*[quoted(c) for c in docs.columns], "_ll_flags")
 
 
+def _flags_at(places: Column) -> Column:
+    """True at the given places, in rising order, and false before and between them."""
+
+    def stretch(place: Column, k: Column) -> Column:
+        before = F.coalesce(F.get(places, k - 1), F.lit(-1))
+        return F.concat(F.array_repeat(F.lit(False), place - before - 1), F.array(F.lit(True)))
+
+    return F.flatten(F.transform(places, stretch))
+
+
 def kept_text(text: Column, flags: Column) -> Column:
     """The lines that are not flagged, joined by line feeds."""
-    kept = F.zip_with(_lines(text), flags, lambda line, dropped: F.when(~dropped, line))
+    kept = F.zip_with(_lines(text), flags, lambda line, dropped: F.when(~F.coalesce(dropped, F.lit(False)), line))
     return F.when(flags.isNull(), F.coalesce(text, F.lit(""))).otherwise(F.array_join(kept, "\n"))
 
 

@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 from odd_rows import table, texts
+from pyspark.sql import functions as F
 
 from ledgerline.llm import line_dedup, rule_ledger
 
@@ -18,7 +19,7 @@ def lower(text: str) -> str:
 
 def plain_lines(rows, least):
     keys = [[lower(line).strip(BLANKS) for line in (t or "").split("\n")] for _, t in rows]
-    found = Counter(k for doc in keys for k in set(doc) if k)
+    found = Counter(k for k, _ in {(k, i) for (i, _), doc in zip(rows, keys) for k in doc if k})  # documents by id
     out = []
     for (i, t), doc in zip(rows, keys):
         lines = (t or "").split("\n")
@@ -35,6 +36,23 @@ def test_lines(spark, least):
     )
 
 
+def test_documents_are_counted_by_id(spark):
+    rows = [(1, f"often\n{k}") for k in range(12)] + [(None, f"nobody's\n{k}") for k in range(12)]
+    rows += [(100 + k, "in ten\n\nin nine" if k < 9 else "in ten") for k in range(10)]
+    got = line_dedup.drop_frequent_lines(table(spark, rows)).collect()
+    want = plain_lines(rows, 10)
+    assert sorted(map(repr, [(r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in got])) == sorted(map(repr, want))
+    assert sum(r.n_dropped for r in got) == 10
+
+
+def test_blank_lines_are_not_joined(spark):
+    rows = [(k, "\n".join(f"line {k} {j}\n \t" for j in range(20))) for k in range(300)]
+    flagged = line_dedup.frequent_line_flags(table(spark, rows))
+    assert flagged.filter("_ll_flags IS NOT NULL").count() == 0
+    keyed = line_dedup._line_keys(F.col("text"), 1)
+    assert table(spark, rows).select(F.explode(keyed).alias("k")).filter("k IS NULL").count() == 6000
+
+
 def test_line_stage_keeps_columns_and_rows(spark):
     docs = table(spark)
     out = line_dedup.without_frequent_lines(docs)
