@@ -17,7 +17,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import Scratch
@@ -252,11 +252,11 @@ def subtree_totals(tree: DataFrame, scratch: Scratch) -> DataFrame:
     )
     rounds = []
     while True:
-        seen = Observation()  # counted while the round is written
+        done = scratch.table(_round(active))
         kinds = [F.count_if(F.col("kind") == kind).alias(kind) for kind in ("active", "compressed")]
-        done = scratch.table(_round(active).observe(seen, *kinds))
-        rounds.append((done, seen.get["compressed"]))
-        if not seen.get["active"]:
+        seen = done.agg(*kinds).first()
+        rounds.append((done, seen["compressed"]))
+        if not seen["active"]:
             break
         active = done.filter("kind = 'active'").select(*_EDGE)
     columns, known = ["conv_id", "depth", "saved", "leaves"], None

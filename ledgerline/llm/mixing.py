@@ -20,12 +20,12 @@ from ledgerline.llm.common import Scratch
 from ledgerline.operators.numbering import sequence_numbers
 
 WORD = r"[^\x20\x09-\x0D]+"
-_GROUP = 50_000  # rows that one window of documents or slots holds, about
+_GROUP = 4096  # rows that one window of documents or slots holds, about
 
 
 def running_start(df: DataFrame, number: str, value: str, name: str) -> DataFrame:
     """``df`` with the sum of ``value`` over the rows with a smaller ``number`` (1..n): first within groups of
-    consecutive numbers, then over the groups, of which there are n / 50,000."""
+    consecutive numbers, then over the groups, of which there are n / 4,096."""
     group = F.floor((F.col(number) - 1) / _GROUP)
     grouped = df.withColumn("_group", group)
     sums = grouped.groupBy("_group").agg(F.sum(value).alias("_sum"))
@@ -95,7 +95,7 @@ def schedule(spark: SparkSession, sources: DataFrame, scratch: Scratch) -> DataF
     """``slot, source_no, rank``: the slots of the mix in order, and each one's rank among its source's slots.
 
     Points beyond the last slot are left out, so a source has exactly its number of slots. Points meet the sources'
-    stretches by a coarse cell of the line, and ranks are counted within (source, 50,000 slots) and added up, so a
+    stretches by a coarse cell of the line, and ranks are counted within (source, 4,096 slots) and added up, so a
     source with most of the slots is ranked by many tasks.
     """
     placed = running_start(sources.select("source_no", "slots"), "source_no", "slots", "low")
@@ -129,7 +129,7 @@ def laid_out(sized: DataFrame, sources: DataFrame, seed: int, scratch: Scratch)
     """Every document with its source's numbers and ``start``, its place on the source's line of words.
 
     Documents are ordered by a digest of seed and id, then id and size. Rows equal in id, source and size are counted
-    first and written out again at the end. A source's line is summed per stretch of digests, about 50,000 rows each,
+    first and written out again at the end. A source's line is summed per stretch of digests, about 4,096 rows each,
     so the largest source is laid out by as many tasks as it has such stretches.
     """
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
