@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import json
 import random
+import time
 from collections import Counter
 
 import duckdb
@@ -70,6 +71,24 @@ def test_pages(page, want):
     assert page_text.main_text(page) == want
 
 
+@pytest.mark.parametrize(
+    "part", ['<p title="', "<p title='x\"", "</", "<script", "<", "<a b='", "<!--", "<p>a<b c=\"d", "<svg>", "<title>x", '="a '],
+)
+def test_pages_take_linear_time(part):
+    """A megabyte of what is never closed, with and without a closing bracket at its end."""
+    for tail in ("", ">", "\"'>", "-->"):
+        started = time.process_time()
+        page_text.main_text("<article><p>first</p>" + part * (1_000_000 // len(part)) + tail)
+        assert time.process_time() - started < 20
+
+
+def test_open_quotes_lose_no_later_text():
+    page = '<article><p>one</p><p title="open>two</p><p class=\'x\'>three</p></article>'
+    assert page_text.main_text(page) == "one\ntwo\nthree"
+    assert page_text.main_text('<article><p title="a > b">one</p><p>two</article>') == "one\ntwo"
+    assert page_text.main_text("<article><p>one</p>a < b and c > d<!-- never closed <p>x") == "one\na < b and c > d"
+
+
 def test_every_page(spark):
     """The driver's pages: the text between the article's tags, block by block."""
     import html
