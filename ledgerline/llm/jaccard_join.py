@@ -16,8 +16,8 @@ loss. What is left is verified on the whole texts.
 
 Copies of a set are one class throughout. Only components are wanted, so the members of costly groups are first compared
 with one of them, and from then on only members of separate components are. Groups are dealt out in blocks of a bounded
-size; the sketches of two blocks are compared in one task, and only pairs that pass leave it: first the best few of
-each member, then, once these have joined what they join, the rest.
+size; the sketches of two blocks are compared in one task, and only pairs that pass leave it: first the nearest ones
+that span what can be joined, fewer than the blocks have members, then, once these have joined what they join, the rest.
 """
 
 from __future__ import annotations
@@ -37,7 +37,6 @@ _U = np.uint64
 _STEP, _ONE, _TWO = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 FREQUENT = 16  # of 64 marks set: about 18 sets or more share a subset
 BLOCK = 256  # members of a group that meet in one task, twice
-BEST = 2  # partners of a member that are verified before the others
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -283,9 +282,27 @@ def _joined(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.table(known.unionByName(merged.join(labels, "node", "left_anti")))
 
 
-def _candidates(members: DataFrame, sets: DataFrame, percent: int, best: int | None) -> DataFrame:
-    """Pairs ``a, b`` of a group's members of separate components whose sizes and sketches allow a link; with ``best``
-    only so many for each member and block, the nearest first.
+def spanning(near: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int]]:
+    """Of pairs ``(distance, a, b, root_a, root_b)``, the nearest ones that join all components which the pairs join."""
+    above: dict[int, int] = {}
+
+    def top(root: int) -> int:
+        while (up := above.get(root, root)) != root:
+            above[root] = root = above.get(up, up)
+        return root
+
+    found = []
+    for _, a, b, root_a, root_b in sorted(near):
+        one, other = top(root_a), top(root_b)
+        if one != other:
+            above[one] = other
+            found.append((a, b))
+    return found
+
+
+def _candidates(members: DataFrame, sets: DataFrame, percent: int, span: bool) -> DataFrame:
+    """Pairs ``a, b`` of a group's members of separate components whose sizes and sketches allow a link; with ``span``
+    only a spanning forest of them for every two blocks, of the nearest pairs.
 
     A group is dealt into blocks by a hash of the member, and each member goes to the tasks of its block with every
     block of the group. A task holds two blocks at a time.
@@ -303,9 +320,8 @@ def _candidates(members: DataFrame, sets: DataFrame, percent: int, best: int | N
     bands = Bands(percent)
 
     def few_compared(rows: list[tuple]) -> list[tuple[int, int]]:
-        found = []
+        near = []
         for k, (*_, row, root, n, sketch_) in enumerate(rows):
-            near = []
             for *_, row_, root_, n_, other in rows[k + 1 :]:
                 if root != root_ and min(n, n_) * 100 >= max(n, n_) * percent:
                     if len(sketch_) == len(other):
@@ -314,16 +330,15 @@ def _candidates(members: DataFrame, sets: DataFrame, percent: int, best: int | N
                         one, two = folded([sketch_, other])
                         apart = int(np.bitwise_count(one ^ two).sum())
                     if apart <= bands.differences(n, n_):
-                        near.append((apart, min(row, row_), max(row, row_)))
-            found += [pair[1:] for pair in (sorted(near)[:best] if best is not None else near)]
-        return found
+                        near.append((apart, min(row, row_), max(row, row_), root, root_))
+        return spanning(near) if span else [pair[1:3] for pair in near]
 
     def compared(rows: list[tuple]) -> list[tuple[int, int]]:
         if len(rows) <= 12 and rows[0][1] == rows[0][2]:
             return few_compared(rows)
         _, i, j, own, row, root, n, sketches = (list(c) for c in zip(*rows))
         own, row, root, n = (np.array(c, np.int64) for c in (own, row, root, n))
-        bits, found = folded(sketches), []
+        bits, found, near = folded(sketches), [], []
         split = int((own == i[0]).sum())  # sorted by block: the first one, then the other
         for k in range(split if i[0] != j[0] else len(row) - 1):
             ahead = slice(split, None) if i[0] != j[0] else slice(k + 1, None)
@@ -334,10 +349,17 @@ def _candidates(members: DataFrame, sets: DataFrame, percent: int, best: int | N
             apart = np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64)
             passed = apart <= (n[at] + n[k]) * (100 - percent) // (100 + percent)
             at, apart = at[passed], apart[passed]
-            if best is not None and at.size > best:
-                at = at[np.argsort(apart, kind="stable")[:best]]
-            found += [(min(row[k], row[m]), max(row[k], row[m])) for m in at]
-        return found
+            if not at.size:
+                continue
+            lower, upper = np.minimum(row[at], row[k]), np.maximum(row[at], row[k])
+            if span:  # of one member's pairs with one component, the nearest will do
+                order = np.lexsort((apart, root[at]))
+                firsts = np.concatenate(([True], np.diff(root[at][order]) != 0))
+                chosen = order[firsts]
+                near += zip(apart[chosen].tolist(), lower[chosen].tolist(), upper[chosen].tolist(), [int(root[k])] * chosen.size, root[at][chosen].tolist())
+            else:
+                found += zip(lower.tolist(), upper.tolist())
+        return spanning(near) if span else found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -361,19 +383,19 @@ def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _resolved(groups: DataFrame, labels: DataFrame, verifier: Verifier, scratch: Scratch) -> DataFrame:
-    """Labels once every pair of a group's members is known to be in one component or not similar: the best pairs
-    first, then all others that are still in separate components."""
+    """Labels once every pair of a group's members is known to be in one component or not similar: the pairs that span
+    the groups first, then all others that are still in separate components."""
     tried = None
-    for best in (BEST, None):
+    for span in (True, False):
         members = scratch.table(_mixed(groups, labels))
         if members.isEmpty():
             break
-        near = _candidates(members, verifier.sets, verifier.percent, best)
+        near = _candidates(members, verifier.sets, verifier.percent, span)
         near = scratch.table(near if tried is None else near.join(tried, ["a", "b"], "left_anti"))
         links = verifier.links(near)
         if not links.isEmpty():
             labels = _joined(labels, links, scratch)
-        if best and near.isEmpty():
+        if span and near.isEmpty():
             break
         tried, groups = near, members.select("g", "row")
     return labels

@@ -57,12 +57,11 @@ def near_copies(seed, groups=12):
     return rows
 
 
-@pytest.mark.parametrize("size, percent, frequent, block, best", [(4, 85, 16, 256, 2), (5, 80, 2, 2, 1), (3, 70, 1, 3, 1)])
-def test_groups_equal_all_pairs(spark, monkeypatch, size, percent, frequent, block, best):
+@pytest.mark.parametrize("size, percent, frequent, block", [(4, 85, 16, 256), (5, 80, 2, 2), (3, 70, 1, 3)])
+def test_groups_equal_all_pairs(spark, monkeypatch, size, percent, frequent, block):
     """With low limits, costly subsets and groups of many blocks are the rule."""
     monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
-    monkeypatch.setattr(jaccard_join, "BEST", best)
     rows = [*texts(), *near_copies(size)]
     got = jaccard_join.near_groups(table(spark, rows), size, percent).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == Counter(plain_groups(rows, size, percent))
@@ -70,6 +69,29 @@ def test_groups_equal_all_pairs(spark, monkeypatch, size, percent, frequent, blo
     assert set(firsts.values()) <= {1}
 
 
+def test_spanning_pairs():
+    """The nearest pairs that join what all pairs join, and no more of them than there are components to join."""
+    rng = random.Random(8)
+    for _ in range(200):
+        roots = [rng.randrange(1, 12) for _ in range(30)]
+        pairs = sorted({tuple(sorted(rng.sample(range(30), 2))) for _ in range(rng.randrange(60))})
+        near = [(rng.randrange(9), a, b, roots[a], roots[b]) for a, b in pairs if roots[a] != roots[b]]
+        chosen = jaccard_join.spanning(near)
+
+        def joined(some):
+            of = {r: r for r in roots}
+            for a, b in some:
+                old, new = of[roots[a]], of[roots[b]]
+                of = {r: new if t == old else t for r, t in of.items()}
+            return {frozenset(r for r in of if of[r] == t) for t in of.values()}
+
+        assert joined(chosen) == joined([p[1:3] for p in near])
+        assert len(chosen) == len(set(roots)) - len(joined(chosen))
+        weight = {(a, b): d for d, a, b, *_ in near}
+        if near:
+            assert weight[chosen[0]] == min(weight.values())
+
+
 def test_linked_sets_always_share_an_index_entry():
     """The pigeonhole itself, on random sets at the limit, whichever subsets are costly."""
     rng = np.random.default_rng(3)
