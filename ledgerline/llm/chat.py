@@ -24,7 +24,8 @@ from ledgerline.functions.text import quoted
 START, MIDDLE, END = "<|im_start|>", "\n", "<|im_end|>\n"
 CONTROLS = ("<|", "|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 LEARNED = "assistant"
-_CONTROL = re.compile("|".join(re.escape(c) for c in CONTROLS))
+# The first character of each control string, also of one that begins within another.
+_CONTROL = re.compile("|".join(f"{re.escape(c[0])}(?={re.escape(c[1:])})" for c in CONTROLS))
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 
 
@@ -139,7 +140,7 @@ def turns(record: object, mapping: Mapping) -> list[tuple[str, str]]:
 def escape(text: str) -> str:
     """Text in which no control string is left: a backslash is doubled, and one goes behind a control string's first
     character."""
-    return _CONTROL.sub(lambda m: m[0][0] + "\\" + m[0][1:], text.replace("\\", "\\\\"))
+    return _CONTROL.sub(lambda m: m[0] + "\\", text.replace("\\", "\\\\"))
 
 
 def unescape(text: str) -> str:

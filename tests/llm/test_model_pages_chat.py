@@ -182,6 +182,15 @@ def test_turns_read_back():
             assert not any(c in chat.escape(part) for c in chat.CONTROLS for part in (text, role))
 
 
+def test_no_control_string_is_left():
+    """Also where control strings overlap, such as in ``<|>``."""
+    rng = random.Random(11)
+    pieces = [*chat.CONTROLS, "<", "|", ">", "[", "]", "/", "\\", "<|>", "s", "INST", "SYS", "\n", "é"]
+    for text in ["<|>", "<|<|>|>", "[INST][/INST]", "<<<SYS>>>", *("".join(rng.choices(pieces, k=rng.randrange(9))) for _ in range(5000))]:
+        escaped = chat.escape(text)
+        assert chat.unescape(escaped) == text and not any(c in escaped for c in chat.CONTROLS)
+
+
 def test_conversations(spark):
     random.seed(5)
     rows = [(c, t, random.choice(["user", "assistant", "system", "", None]), random.choice([*HOSTILE, None])) for c in (1, 2, None) for t in range(40)]
