@@ -33,10 +33,11 @@ from ledgerline.functions.text import quoted
 from ledgerline.llm.common import Memo, Scratch, text_key, texts, words
 from ledgerline.llm.components import components
 
-_U = np.uint64
+_U, _LAST = np.uint64, np.iinfo(np.int64).max
 _STEP, _ONE, _TWO = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 FREQUENT = 16  # of 64 marks set: about 18 sets or more share a subset
 BLOCK = 256  # members of a group that meet in one task, twice
+LEAST = 6  # groups of a member that its rows name, so that a pair is not sent from each group it shares
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -305,38 +306,42 @@ def _candidates(members: DataFrame, sets: DataFrame, percent: int, span: bool) -
     only a spanning forest of them for every two blocks, of the nearest pairs.
 
     A group is dealt into blocks by a hash of the member, and each member goes to the tasks of its block with every
-    block of the group. A task holds two blocks at a time.
+    block of the group. A task holds two blocks at a time. Near copies share most of their groups: each member's rows name
+    the first few of its groups, and two members that both name an earlier group are left to that one.
     """
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     placed = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    sketches = sets.select("row", F.col("n").cast("long").alias("n"), "sketch")
+    least = members.groupBy("row").agg(F.slice(F.array_sort(F.collect_set("g")), 1, LEAST).alias("least"))
+    sketches = sets.select("row", F.col("n").cast("long").alias("n"), "sketch").join(least, "row")
     dealt = (
         placed.join(sketches, "row")
-        .select("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "row", "root", "n", "sketch")
+        .select("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "row", "root", "n", "sketch", "least")
         .repartition("g", "i", "j")
         .sortWithinPartitions("g", "i", "j", "own", "row")
     )
     bands = Bands(percent)
 
     def few_compared(rows: list[tuple]) -> list[tuple[int, int]]:
-        near = []
-        for k, (*_, row, root, n, sketch_) in enumerate(rows):
-            for *_, row_, root_, n_, other in rows[k + 1 :]:
+        near, g = [], rows[0][0]
+        for k, (*_, row, root, n, sketch_, named) in enumerate(rows):
+            earlier = {x for x in named if x < g}
+            for *_, row_, root_, n_, other, named_ in rows[k + 1 :]:
                 if root != root_ and min(n, n_) * 100 >= max(n, n_) * percent:
                     if len(sketch_) == len(other):
                         apart = (int.from_bytes(sketch_) ^ int.from_bytes(other)).bit_count()
                     else:
                         one, two = folded([sketch_, other])
                         apart = int(np.bitwise_count(one ^ two).sum())
-                    if apart <= bands.differences(n, n_):
+                    if apart <= bands.differences(n, n_) and earlier.isdisjoint(named_):
                         near.append((apart, min(row, row_), max(row, row_), root, root_))
         return spanning(near) if span else [pair[1:3] for pair in near]
 
     def compared(rows: list[tuple]) -> list[tuple[int, int]]:
         if len(rows) <= 12 and rows[0][1] == rows[0][2]:
             return few_compared(rows)
-        _, i, j, own, row, root, n, sketches = (list(c) for c in zip(*rows))
+        g, i, j, own, row, root, n, sketches, named = (list(c) for c in zip(*rows))
+        named = np.array([[*x, *[_LAST] * (LEAST - len(x))] for x in named], np.int64)
         own, row, root, n = (np.array(c, np.int64) for c in (own, row, root, n))
         bits, found, near = folded(sketches), [], []
         split = int((own == i[0]).sum())  # sorted by block: the first one, then the other
@@ -349,6 +354,10 @@ def _candidates(members: DataFrame, sets: DataFrame, percent: int, span: bool) -
             apart = np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64)
             passed = apart <= (n[at] + n[k]) * (100 - percent) // (100 + percent)
             at, apart = at[passed], apart[passed]
+            earlier = named[k][named[k] < g[0]]
+            if at.size and earlier.size:
+                alone = ~np.isin(named[at], earlier).any(axis=1)
+                at, apart = at[alone], apart[alone]
             if not at.size:
                 continue
             lower, upper = np.minimum(row[at], row[k]), np.maximum(row[at], row[k])
