@@ -7,6 +7,9 @@ words or more are cut out; the first copy of every chunk stays.
 
 A chunk is four words on average, so a passage of 50 words has a run of 20 or more inside but for a few in a thousand
 cases, while phrases that texts share by chance are shorter.
+
+Where a text has no such end for 256 bytes, as in scripts written without blanks, the same hash ends chunks between any two
+characters, 12 characters apart on average, and two characters count as a word.
 """
 
 from __future__ import annotations
@@ -25,11 +28,12 @@ WINDOW, LONGEST = 16, 256  # bytes the hash looks back; a stretch without a cut
 _GEAR = np.random.RandomState(8).randint(0, 2**32, 256, np.uint32)
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-_CUT_BELOW = np.uint32(2**32 // 4)
+_CUT_BELOW, _CLOSE_BELOW = np.uint32(2**32 // 4), np.uint32(2**32 // 12)
 
 
-def cuts(raw: np.ndarray) -> np.ndarray:
-    """Ends of the chunks of a text's bytes, the last one the text's end."""
+def cuts(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ends of the chunks of a text's bytes, the last one the text's end; and whether each chunk lies where there is no
+    blank to end one."""
     rolled, width = _GEAR[raw], 1
     while width < WINDOW:
         shifted = rolled[:-width] << np.uint32(width)
@@ -40,33 +44,44 @@ def cuts(raw: np.ndarray) -> np.ndarray:
     if not raw.size or not ends.size or ends[-1] != raw.size:
         ends = np.append(ends, raw.size)
     starts = np.concatenate(([0], ends[:-1]))
-    if not (ends - starts > LONGEST).any():
-        return ends
-    more = [ends]
+    wide = ends - starts > LONGEST
+    if not wide.any():
+        return ends, wide
+    covered = np.zeros(raw.size + 1, np.int8)
+    np.add.at(covered, starts[wide], 1)
+    np.add.at(covered, ends[wide], -1)
+    covered = np.cumsum(covered[:-1]).astype(bool)
+    close = np.zeros(raw.size, bool)
+    close[:-1] = (raw[1:] & 0xC0) != 0x80
+    close &= covered & (rolled < _CLOSE_BELOW)
+    ends = np.union1d(ends, np.flatnonzero(close) + 1)
+    starts, more = np.concatenate(([0], ends[:-1])), [ends]
     for start, end in zip(starts, ends):
-        if end - start > LONGEST:
+        if end - start > LONGEST:  # such as one letter over and over
             at = np.arange(start + LONGEST, end, LONGEST)
             while (inside := (raw[at] & 0xC0) == 0x80).any():  # not within a character
                 at = at - inside
             more.append(at)
-    return np.unique(np.concatenate(more))
+    ends = np.unique(np.concatenate(more))
+    return ends, covered[np.concatenate(([0], ends[:-1]))]
 
 
 def chunks(text: bytes) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """Digests, code points and words of a text's chunks."""
+    """Digests, code points and words of a text's chunks; two characters are a word where there are no blanks."""
     import xxhash
 
     raw = np.frombuffer(text, np.uint8)
     if not raw.size:
         return [], np.empty(0, np.int64), np.empty(0, np.int64)
-    ends = cuts(raw)
+    ends, wide = cuts(raw)
     at = [0, *ends.tolist()]
     digests = [xxhash.xxh3_64_intdigest(text[a:b]) for a, b in zip(at, at[1:])]
     points = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
     blank = _BLANK[raw]
     begins = ~blank & np.concatenate(([True], blank[:-1]))
     counted = np.concatenate(([0], np.cumsum(begins)))
-    return digests, np.diff(points[at]), np.diff(counted[at])
+    chars, words = np.diff(points[at]), np.diff(counted[at])
+    return digests, chars, np.where(wide, np.maximum(words, (chars + 1) // 2), words)
 
 
 def _chunked(docs: DataFrame) -> DataFrame:

@@ -179,12 +179,58 @@ def test_chunks_cover_a_text_and_resist_shifts():
     for _, t in texts():
         raw = (t or "").encode()
         digests, chars, words = chunk_dedup.chunks(raw)
-        assert sum(chars) == len(t or "") and sum(words) == len(raw.split()) and len(digests) == len(chars)
+        wide = chunk_dedup.cuts(np.frombuffer(raw, np.uint8))[1] if raw else np.zeros(0, bool)
+        assert sum(chars) == len(t or "") and len(digests) == len(chars) == len(wide)
+        assert sum(words) == len(raw.split()) or wide.any()
     own = set(chunk_dedup.chunks(PASSAGE.encode())[0])
     moved = set(chunk_dedup.chunks(f"{sentence(1, 33)} {PASSAGE} tail".encode())[0])
     assert len(own & moved) >= len(own) - 6
 
 
+def chinese(seed, n):
+    rng = random.Random(seed)
+    return "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+
+
+def test_texts_without_blanks_are_cut(spark):
+    same = chinese(1, 1500)
+    own, moved = (set(chunk_dedup.chunks(t.encode())[0]) for t in (same, "两字" + same))
+    assert len(own) > 100 and len(own & moved) >= len(own) - 6
+    rows = [(1, same), (2, same), (3, "两字" + same), (4, chinese(4, 700) + same[300:700] + chinese(5, 300)), (5, chinese(6, 900))]
+    got = {r.doc_id: r for r in chunk_dedup.cut_repeats(table(spark, rows)).collect()}
+    assert got[1].n_cut == 0 and got[2].kept_text == "" and got[5].n_cut == 0
+    assert got[3].n_cut > 1400 and 340 < got[4].n_cut <= 400
+    plain = plain_repeats(rows, 40)
+    assert all(plain[i] for i in (2, 3, 4)) and not plain[5]
+
+
+def plain_repeats(rows, n):
+    """Ids of texts, and whether ``n`` characters in a row of one stand in an earlier text; by every substring."""
+    seen, out = set(), {}
+    for i, t in rows:
+        own = {t[k : k + n] for k in range(len(t) - n + 1)}
+        out[i] = bool(own & seen)
+        seen |= own
+    return out
+
+
+def test_what_is_cut_stands_earlier(spark):
+    """An independent form: a text is cut only if a long part of it stands earlier, and then most of that part goes."""
+    rng = random.Random(3)
+    rows = [(k, sentence(k, 120)) for k in range(60)]
+    rows += [(100 + k, f"{sentence(300 + k, 50)} {' '.join(rows[rng.randrange(60)][1].split()[20:90])} {sentence(400 + k, 50)}") for k in range(40)]
+    got = {r.doc_id: r for r in chunk_dedup.cut_repeats(table(spark, rows)).collect()}
+    plain = plain_repeats(rows, 150)
+    assert {i for i, r in got.items() if r.n_cut} == {i for i, found in plain.items() if found}
+    whole = "\n".join(t for i, t in rows if i < 100)
+    for i, t in rows:
+        for span in got[i].cut:
+            assert t[span.start : span.start + span.length].strip() in whole
+    passages = {i: len(" ".join(t.split()[50:120])) for i, t in rows if plain[i]}
+    assert all(got[i].n_cut > 0.3 * n for i, n in passages.items())  # up to twenty words may stay at either end
+    assert sum(got[i].n_cut for i in passages) > 0.7 * sum(passages.values())
+
+
 def test_random_passages_are_found(spark):
     rows = [(k, f"{sentence(k, 40 + k)} {sentence(5000 + k // 2, 55)} {sentence(9000 + k, 40)}") for k in range(200)]
     got = {r.doc_id: r for r in chunk_dedup.cut_repeats(table(spark, rows)).collect()}
