@@ -78,5 +78,8 @@ def to_usd(
     return priced.withColumns({t: F.col(s) * F.col("_rate") for s, t in amounts.items()}).drop("_rate", "_code", "_day")
 
 
-def currency_subset(df: DataFrame, currency_col: str, codes: Sequence[str] = ("USD", "CAD", "EUR")) -> DataFrame:
+REGRESSION_CURRENCIES = ("USD", "CAD", "EUR")
+
+
+def currency_subset(df: DataFrame, currency_col: str, codes: Sequence[str] = REGRESSION_CURRENCIES) -> DataFrame:
     return df.where(F.col(currency_col).isin(*codes))

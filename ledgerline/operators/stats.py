@@ -20,42 +20,25 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     """``(row_name, col_name, r)`` for all ordered pairs of numeric columns, over the rows where both have a value;
     null where a column does not vary.
 
-    Two aggregations of plain sums: the first finds centres, constant columns and columns with nulls, the second
-    sums products of centred values. A pair needs sums of its own only where one of its columns has nulls.
+    One aggregation: covariances and variances about running means, each pair's variances over the pair's own rows.
     """
     names = list(columns) if columns else numeric_columns(df)
     values = df.select(*[F.col(quoted(n)).cast("double").alias(f"v{i}") for i, n in enumerate(names)])
     index = range(len(names))
-    first = values.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[f(f"v{i}").alias(f"{label}{i}") for i in index for label, f in _PROFILE.items()],
-    ).first()
-    gaps = {i for i in index if first[f"count{i}"] < first["n"]}
-    centred = [F.col(f"v{i}") - F.lit(first[f"mean{i}"]) for i in index]
 
-    def sums(a: int, b: int) -> list[Column]:
-        """Of a, b, aa, bb, ab and the row count, over the rows where both are known."""
-        x, y = centred[a], centred[b]
-        if a in gaps or b in gaps:
-            known = x.isNotNull() & y.isNotNull()
-            x, y = F.when(known, x), F.when(known, y)
-        return [F.sum(x), F.sum(y), F.sum(x * x), F.sum(y * y), F.sum(x * y), F.count(x * y)]
+    def spread(of: int, beside: int) -> Column:
+        return F.var_pop(F.when(F.col(f"v{beside}").isNotNull(), F.col(f"v{of}")))
 
     def r(a: int, b: int) -> Column:
-        sa, sb, saa, sbb, sab, n = sums(a, b)
-        cross = sab - F.try_divide(sa * sb, n)
-        spread = (saa - F.try_divide(sa * sa, n)) * (sbb - F.try_divide(sb * sb, n))
-        return F.try_divide(cross, F.sqrt(F.greatest(spread, F.lit(0.0))))
+        return F.try_divide(F.covar_pop(f"v{a}", f"v{b}"), F.sqrt(spread(a, b)) * F.sqrt(spread(b, a)))
 
-    varies = {i for i in index if first[f"count{i}"] and first[f"least{i}"] != first[f"most{i}"]}
-    pairs = [(a, b) for a, b in combinations(index, 2) if a in varies and b in varies]
-    wide = values.agg(F.count(F.lit(1)).alias("n"), *[r(a, b).alias(f"r{a}_{b}") for a, b in pairs])
+    pairs = list(combinations(index, 2))
+    wide = values.agg(
+        *[F.var_pop(f"v{i}").alias(f"s{i}") for i in index], *[r(a, b).alias(f"r{a}_{b}") for a, b in pairs]
+    )
 
     def cell(a: int, b: int) -> Column:
-        low, high = min(a, b), max(a, b)
-        if (low, high) in pairs:
-            return F.col(f"r{low}_{high}")
-        return F.lit(1.0) if a == b and a in varies else F.lit(None).cast("double")
+        return F.when(F.col(f"s{a}") > 0, 1.0) if a == b else F.col(f"r{min(a, b)}_{max(a, b)}")
 
     entries = [
         F.struct(F.lit(names[a]).alias("row_name"), F.lit(names[b]).alias("col_name"), cell(a, b).alias("r"))
@@ -65,9 +48,6 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     return wide.select(F.inline(F.array(*entries)))
 
 
-_PROFILE = {"count": F.count, "mean": F.avg, "least": F.min, "most": F.max}
-
-
 def constant_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """Columns that hold at most one distinct value (nulls aside)."""
     row = df.agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.dates import parse_us_date
+from ledgerline.functions.dates import month_start, parse_us_date
 from ledgerline.operators import fx, rfm, series, stats
 from ledgerline.plans import adapters, jobs
 from ledgerline.plans.catalog import Catalog
@@ -162,8 +162,10 @@ def monthly_volume_usa(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def forecast_and_regression_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecasts count all orders of a month, regressions those in three currencies."""
-    both = usa_volume(spark, sf_dir).withColumnRenamed("volume", "forecast_volume").join(
-        regression_volume(spark, sf_dir).withColumnRenamed("volume", "regression_volume"), "month", "left"
+    usa = dated_orders(spark, sf_dir).where(F.col("Country") == "Usa")
+    explained = F.count(F.when(F.col("CurrencyCode").isin(*fx.REGRESSION_CURRENCIES), F.col("UniqueId")))
+    both = usa.groupBy(month_start(F.col("received")).alias("month")).agg(
+        F.count("UniqueId").alias("forecast_volume"), F.nullif(explained, F.lit(0)).alias("regression_volume")
     )
     return _month_text(both)
 
