@@ -16,12 +16,13 @@ from ledgerline.plans import adapters, rules
 from ledgerline.plans.catalog import Catalog
 from ledgerline.plans.catalog.cleaning import PUBLISHED, TRIMMED, typed_order_book
 from ledgerline.plans.ingest_log import append_log, read_log, stamp_newest
+from ledgerline.plans.jobs import home_volume
 from ledgerline.schemas import CHURN, ORDER_BOOK_RAW
 from ledgerline.session import remove, scratch_path, table, written
 from ledgerline.sources.checked import read_rates
 from ledgerline.sources.files import has_rows, latest_file, list_files, read_catalog_table, read_csv, read_parquet_zone
 from ledgerline.sources.files import read_zone, register_zone, with_file
-from ledgerline.sources.sinks import CSV_WRITE, write_zone
+from ledgerline.sources.sinks import CSV_WRITE, UPLOAD_COLUMN, write_zone
 from ledgerline.streaming.incremental import load_new_batches, load_new_rows
 from ledgerline.streaming.rule_pipeline import Zones, load_through_rules
 
@@ -151,6 +152,36 @@ def zone_roundtrip_parquet_merge_schema(spark: SparkSession, sf_dir: str) -> Dat
     return read_parquet_zone(spark, f"{zone}/DS1")
 
 
+@CATALOG.query(NUMBERED)
+def published_parquet_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule list that names the Parquet writer of the published zone."""
+    out = scratch_path(spark, "published")
+    names = ["writeDataIntoPublishedS3ZoneInParquet", "customModel"]  # writers run last, wherever they stand
+    rules.run_stage(typed_order_book(spark, sf_dir), rules.TRANSFORMED_TO_PUBLISHED, "DS1", rules.Target(out), names)
+    return _numbered(read_zone(spark, out, "DS1", "parquet"))
+
+
+@CATALOG.query(
+    f"{PUBLISHED} SELECT CASE WHEN OrderNumber % 2 = 0 THEN 'even' ELSE 'odd' END AS upload_id, "
+    "CAST(CAST(date_trunc('month', strptime(OrderReceivedDate, '%m/%d/%Y')) AS DATE) AS VARCHAR) AS month, "
+    "count(UniqueId) AS volume FROM published WHERE file_type = 'training' AND Country = 'Usa' GROUP BY 1, 2"
+)
+def volumes_per_training_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two uploads of many files each, read in one scan: a monthly series per training upload."""
+    zone = scratch_path(spark, "published")
+    rows = written(
+        published_rows(typed_order_book(spark, sf_dir)).select(
+            "UniqueId", "OrderNumber", "OrderReceivedDate", "Country", "file_type"
+        ),
+        "book",
+    )
+    for name, rest in (("even", 0), ("odd", 1)):
+        write_zone(rows.where(F.col("OrderNumber") % 2 == rest), zone, "DS1", "csv", upload_id=name)
+    read = read_zone(spark, zone, "DS1", "csv", rows.withColumn(UPLOAD_COLUMN, F.lit("")).schema)
+    volume = home_volume(read.where(F.col("file_type") == "training"), key=[UPLOAD_COLUMN])
+    return volume.withColumn("month", F.col("month").cast("string"))
+
+
 _EVENT_SQL = "SELECT event_id, user_id, upper(event_type) AS event_type, value FROM events"
 
 

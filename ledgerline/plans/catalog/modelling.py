@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.models import churn, forecast, inference, least_squares, regression
+from ledgerline.models import absolute_forest, churn, forecast, inference, least_squares, network, regression
 from ledgerline.models.forest import read_nodes, score_forest
 from ledgerline.operators import series, stats
 from ledgerline.plans import adapters, jobs, results
@@ -378,6 +378,43 @@ def churn_network_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return direct.join(loaded, "customerid").select("customerid", (F.abs(F.col("a") - F.col("b")) < 1e-9).alias("equal"))
 
 
+@CATALOG.query(f"WITH {CHURN_TABLE} SELECT customerid, TRUE AS equal FROM churn")
+def named_network_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The network of rectified units, trained by distributed gradients: every customer scored by it and by the same one saved
+    and loaded."""
+    customers = written(adapters.churn_table(spark, sf_dir), "customers")
+    train, _ = churn.stable_split(customers, "customerid")
+    made, path = network.fit_network(train, epochs=3), scratch_path(spark, "network")
+    made.save(path)
+    direct = made.score(customers).select("customerid", F.col("probability_exit").alias("a"))
+    loaded = network.Network.load(spark, path).score(customers).select("customerid", F.col("probability_exit").alias("b"))
+    same = (F.abs(F.col("a") - F.col("b")) < 1e-9) & F.col("a").between(0, 1)
+    return direct.join(loaded, "customerid").select("customerid", same.alias("equal"))
+
+
+_TREE_FEATURES = ["l_linenumber", "l_discount", "l_tax"]
+_TREE_LABEL = "CAST(l_quantity AS DOUBLE) + CASE WHEN l_linenumber > 3 THEN 10 ELSE 0 END"
+
+
+@CATALOG.query(
+    f"WITH t AS (SELECT {', '.join(_TREE_FEATURES)}, {_TREE_LABEL} AS y FROM lineitem), "
+    + ", ".join(
+        f"c{i} AS (SELECT {i} AS f, cut, (SELECT sum(abs(y - m)) FROM (SELECT y, median(y) OVER (PARTITION BY {f} <= cut) AS m FROM t)) AS e "
+        f"FROM (SELECT DISTINCT {f} AS cut FROM t WHERE {f} < (SELECT max({f}) FROM t)))"
+        for i, f in enumerate(_TREE_FEATURES)
+    )
+    + ", best AS (SELECT * FROM (SELECT * FROM c0 UNION ALL SELECT * FROM c1 UNION ALL SELECT * FROM c2) ORDER BY e, f, cut LIMIT 1), "
+    "sides AS (SELECT y, CASE f WHEN 0 THEN l_linenumber <= cut WHEN 1 THEN l_discount <= cut ELSE l_tax <= cut END AS low FROM t, best), "
+    "leaves AS (SELECT low, median(y) AS prediction, count(*) AS n FROM sides GROUP BY low) "
+    "SELECT prediction, sum(n)::BIGINT AS n FROM leaves GROUP BY prediction"
+)
+def absolute_error_tree_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first split of a tree by absolute error over all order lines, and the lines that get each median."""
+    lines = table(spark, sf_dir, "lineitem").select(*_TREE_FEATURES, F.expr(_TREE_LABEL).alias("y"))
+    forest = absolute_forest.fit_forest(lines, _TREE_FEATURES, "y", num_trees=1, max_depth=1, bootstrap=False)
+    return forest.predict(lines).groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
 @CATALOG.query()
 def seasonal_arima_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _month_text(forecast.seasonal_forecast(country_volume(spark, sf_dir), "volume", ["country"]))
