@@ -8,57 +8,13 @@ together.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
-
-_SOLUTION = StructType([StructField("coefficients", ArrayType(DoubleType())), StructField("rss", DoubleType())])
-
-
-def moments(df: DataFrame, key: Sequence[str], features: Sequence[Column], label: Column) -> DataFrame:
-    """Per group: ``n``, ``xx`` (row-major X'X), ``xy`` (X'y) and ``yy``, over rows without nulls."""
-    x = [f"_x{i}" for i in range(len(features))]
-    columns = {name: feature.cast("double") for name, feature in zip(x, features)}
-    rows = df.select(*key, *[c.alias(n) for n, c in columns.items()], label.cast("double").alias("_y"))
-    rows = rows.na.drop(subset=[*x, "_y"])
-    k = range(len(x))
-    # X'X is symmetric: each product is summed once and used on both sides.
-    sums = [f"sum(_x{i} * _x{j}) AS _xx{i}_{j}" for i in k for j in k if i <= j]
-    sums += [f"sum(_x{i} * _y) AS _xy{i}" for i in k]
-    summed = rows.groupBy(*key).agg(F.expr("count(1) AS n"), F.expr("sum(_y * _y) AS yy"), *map(F.expr, sums))
-    square = ", ".join(f"_xx{min(i, j)}_{max(i, j)}" for i in k for j in k)
-    return summed.selectExpr(*key, "n", "yy", f"array({square}) AS xx", f"array({', '.join(f'_xy{i}' for i in k)}) AS xy")
-
-
-def solve(used: Column) -> Column:
-    """``(coefficients, rss)`` from the moments of a group: coefficients of the regressors listed in ``used``, zero
-    for the others, minimum norm if singular; and the residual sum of squares."""
-
-    # Defined here so that it travels to the workers by value, whether or not they have this package.
-    @pandas_udf(_SOLUTION)
-    def solve_moments(xx: pd.Series, xy: pd.Series, yy: pd.Series, used: pd.Series) -> pd.DataFrame:
-        def one(a, b, y, pick):
-            a, b, pick = np.asarray(a), np.asarray(b), np.asarray(pick, dtype=int)
-            out, rss = np.zeros(len(b)), y
-            if len(pick):
-                square = a.reshape(len(b), len(b))[np.ix_(pick, pick)]
-                found = np.linalg.lstsq(square, b[pick], rcond=None)[0]
-                out[pick] = found
-                rss = y - 2 * found @ b[pick] + found @ square @ found
-            return out, max(rss, 0.0)
-
-        return pd.DataFrame([one(*row) for row in zip(xx, xy, yy, used)], columns=["coefficients", "rss"])
-
-    return solve_moments("xx", "xy", "yy", used)
-
-
-def dot(coefficients: Column, values: Sequence[Column]) -> Column:
-    return reduce(lambda total, pair: total + coefficients[pair[0]] * pair[1], enumerate(values), F.lit(0.0))
+from pyspark.sql.types import ArrayType, DoubleType
 
 
 def grouped_regression(
@@ -67,17 +23,12 @@ def grouped_regression(
     """``(key, n, feature, coefficient)`` of an ordinary regression per group; null coefficients where the group's
     features are linearly dependent, so that there is no single answer.
 
-    With an intercept the moments are taken about the group's means, in Spark's one-pass form, and scaled: sums of raw
-    products would lose all digits when means are large beside deviations.
+    The moments are taken about the group's means, in Spark's one-pass form, and scaled: sums of raw products would lose
+    all digits when means are large beside deviations. Without an intercept they are then moved to zero.
     """
     names = [*features, *(["intercept"] if intercept else [])]
-    if intercept:
-        fitted = centred_moments(df, key, features, label).withColumn("coefficients", _solve_centred("mean", "cov"))
-    else:
-        columns = [F.col(f) for f in features]
-        fitted = moments(df, key, columns, F.col(label)).withColumn(
-            "coefficients", solve(F.lit(list(range(len(names)))))["coefficients"]
-        )
+    solved = _solve_centred("mean", "cov") if intercept else _solve_about_zero("mean", "cov")
+    fitted = centred_moments(df, key, features, label).withColumn("coefficients", solved)
     pairs = F.arrays_zip(F.lit(names).alias("feature"), F.col("coefficients").alias("coefficient"))
     return fitted.select(*key, "n", F.inline(pairs).alias("feature", "coefficient"))
 
@@ -110,3 +61,20 @@ def _solve_centred(mean: pd.Series, cov: pd.Series) -> pd.Series:
         return [*found.tolist(), float(means[k] - found @ means[:k])]
 
     return pd.Series([one(*row) for row in zip(mean, cov)])
+
+
+@pandas_udf(ArrayType(DoubleType()))
+def _solve_about_zero(mean: pd.Series, cov: pd.Series) -> pd.Series:
+    def one(means, moments_):
+        means = np.asarray(means, float)
+        k = len(means) - 1
+        square = np.asarray(moments_, float).reshape(k + 1, k + 1) + np.outer(means, means)
+        scale = np.sqrt(np.diag(square))[:k]
+        if not k or (scale == 0).any():
+            return [None] * k
+        scaled = square[:k, :k] / np.outer(scale, scale)
+        if np.linalg.matrix_rank(scaled, tol=1e-10) < k:
+            return [None] * k
+        return (np.linalg.solve(scaled, square[:k, k] / scale) / scale).tolist()
+
+    return pd.Series([one(*row) for row in zip(mean, cov)])

@@ -393,6 +393,18 @@ def test_grouped_inference(spark):
     assert inference.grouped_inference(frame.limit(0), ["k"], ["x0"], "y").count() == 0
 
 
+def test_regression_without_intercept(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(40, 2)) + [1e4, 5]
+    y = x @ [2.0, -3.0] + rng.normal(size=40)
+    rows = [("a", *map(float, r), float(v)) for r, v in zip(x, y)] + [("same", float(i), 2.0 * i, 1.0) for i in range(5)]
+    frame = spark.createDataFrame(rows, "k string, x0 double, x1 double, y double")
+    found = {(r.k, r.feature): r.coefficient for r in least_squares.grouped_regression(frame, ["k"], ["x0", "x1"], "y", False).collect()}
+    want = np.linalg.lstsq(x, y, rcond=None)[0]
+    np.testing.assert_allclose([found["a", "x0"], found["a", "x1"]], want, rtol=1e-6)
+    assert found["same", "x0"] is None and found["same", "x1"] is None  # one is twice the other
+
+
 def test_t_probabilities():
     # Two-sided points of the t distribution from printed tables.
     for freedom, t, p in ((1, 12.706, 0.05), (5, 2.571, 0.05), (10, 3.169, 0.01), (30, 2.042, 0.05), (120, 2.617, 0.01)):
