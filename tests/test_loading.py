@@ -406,3 +406,33 @@ def test_incremental_csv_keeps_texts(spark, tmp_path):
     rows.write.options(**sinks.CSV_WRITE).csv(folder)
     load_new_rows(spark, folder, rows.schema, target, str(tmp_path / "progress"), lambda d: d)
     assert sorted((r.n, r.t) for r in spark.read.parquet(target).collect()) == list(enumerate(texts))
+
+
+def test_a_version_by_rename(spark, tmp_path, monkeypatch):
+    """Stores other than a local folder: a rename that refuses a target, also one that appears after the first look."""
+    real, blind = commits._path, []
+
+    class Store:
+        def __init__(self, files):
+            self.files = files
+
+        def __getattr__(self, name):
+            return getattr(self.files, name)
+
+        def getScheme(self):
+            return "store"
+
+        def exists(self, path):
+            return False if blind and blind.pop() else self.files.exists(path)
+
+    def path(session, name):
+        found, files = real(session, name)
+        return found, Store(files)
+
+    monkeypatch.setattr(commits, "_path", path)
+    target = commits.version_file(str(tmp_path / "v"), 1)
+    assert commits.create_once(spark, target, '{"a": 1}') and not commits.create_once(spark, target, '{"a": 2}')
+    blind.append(True)
+    assert not commits.create_once(spark, target, '{"a": 3}')
+    assert commits.read_version(spark, str(tmp_path / "v"), 1) == {"a": 1}
+    assert [p.name for p in (tmp_path / "v").iterdir() if not p.name.startswith(".")] == ["000000000001.json"]
