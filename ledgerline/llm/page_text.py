@@ -1,11 +1,13 @@
 """Main text of web pages by the distribution of text over lines.
 
 Markup is stripped to lines, one per block, and lines inside page furniture (navigation, adverts, forms, comments...)
-are dropped. A page that marks its article is read by these tags: all other lines between them are its text. Elsewhere
-a line counts its letters outside links, or all of them if a link is as long as a sentence. The counts of three lines
-in a row are summed; text starts where the sums rise from zero (surge) and ends where they are back at zero (dive),
-and all that lies between is kept. So only three or more lines in a row that are nothing but short links, which is a
-menu, part the text, and such lines before its start and behind its end are not part of it.
+are dropped; on a page that marks its article, so are lines outside it. A line counts its letters outside links, or all
+of them if a link is as long as a sentence. The counts of three lines in a row are summed; text starts where the sums
+rise from zero (surge) and ends where they are back at zero (dive), and all that lies between is kept. So only three or
+more lines in a row that are nothing but short links, which is a menu, part the text, and such lines before its start
+and behind its end are not part of it. The tags of a marked article only add to these counts: its borders count as
+text, so that fewer than three such lines beside them stay, and so does a line in it without a link, such as a rule of
+asterisks.
 """
 
 from __future__ import annotations
@@ -119,18 +121,18 @@ def lines_of(page: str) -> list[tuple[str, bool, bool, int]]:
     """Blocks of a page in order: text, whether in page furniture, whether in its article, letters outside links."""
     out: list[tuple[str, bool, bool, int]] = []
     parts: list[str] = []
-    plain, breaks, in_link = 0, 0, False
+    plain, breaks, in_link, linked = 0, 0, False, False
     open_: list[tuple[str, bool, bool]] = []  # name, furniture, article
     furniture = article = 0
 
     def end_line() -> None:
-        nonlocal plain
+        nonlocal plain, linked
         if parts:
             text = " ".join(html_lib.unescape("".join(parts)).split())
             if text:
-                out.append((text, furniture > 0, article > 0, plain))
+                out.append((text, furniture > 0, article > 0, plain or int(article > 0 and not linked)))
             parts.clear()
-        plain = 0
+        plain, linked = 0, in_link
 
     def close(until: int) -> None:
         nonlocal furniture, article
@@ -163,6 +165,7 @@ def lines_of(page: str) -> list[tuple[str, bool, bool, int]]:
             continue
         if name == "a":
             in_link = not token["close"]
+            linked = linked or in_link
         if name in _BLOCKS:
             end_line()
         if name in _VOID or name in _EMBEDDED or token["rest"].endswith("/"):
@@ -202,9 +205,11 @@ def lines_of(page: str) -> list[tuple[str, bool, bool, int]]:
 def main_text(page: str | None) -> str:
     """The page's main text, blocks joined by line feeds; empty if there is none."""
     lines = [line for line in lines_of(page or "") if not line[1]]
-    if any(inside for _, _, inside, _ in lines):
-        return "\n".join(text for text, _, inside, _ in lines if inside)
+    marked = any(inside for _, _, inside, _ in lines)
+    lines = [line for line in lines if line[2] or not marked]
     weight = [plain if plain or len(text.split()) < SENTENCE else len(text) for text, _, _, plain in lines]
+    edge = int(marked)  # a line at either end stands for the article's tags
+    weight = [1] * edge + weight + [1] * edge
     spans, start = [], None
     for k in range(len(weight) + 1):
         here = sum(weight[k : k + WINDOW])
@@ -213,7 +218,8 @@ def main_text(page: str | None) -> str:
         elif not here and start is not None:
             spans.append((start, k))  # dive
             start = None
-    return "\n".join(lines[k][0] for a, b in spans for k in range(a, b))
+    kept = [k - edge for a, b in spans for k in range(a, b)]
+    return "\n".join(lines[k][0] for k in kept if 0 <= k < len(lines))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -261,6 +261,20 @@ def test_embedded_and_named_elements(page, want):
     assert page_text.main_text(page) == want
 
 
+def test_line_sums_decide_in_marked_pages(monkeypatch):
+    """A menu in an article goes; fewer than three link lines stay, also beside the article's tags, and so do lines
+    without letters. A wider window takes the menu for text."""
+    links = [f"<li><a href='/{k}'>Go {k}</a></li>" for k in range(4)]
+    page = "<p>out</p><article><h1><a href='/'>Title</a></h1><p>One.</p>%s<p>Two.</p><p>***</p><p>}</p><p>--</p><p>*</p>%s</article>"
+    ends = "***\n}\n--\n*"
+    for tags in (page, page.replace("article", "main")):
+        assert page_text.main_text(tags % ("".join(links), "".join(links))) == f"Title\nOne.\nTwo.\n{ends}"
+        assert page_text.main_text(tags % ("".join(links[:2]), "".join(links[:2]))) == f"Title\nOne.\nGo 0\nGo 1\nTwo.\n{ends}\nGo 0\nGo 1"
+    assert page_text.main_text("<article>%s<p>One.</p></article>" % "".join(links)) == "One."
+    monkeypatch.setattr(page_text, "WINDOW", 5)
+    assert "Go 3" in page_text.main_text(page % ("".join(links), ""))
+
+
 U, A, S = ("user", "p"), ("assistant", "r"), ("system", "s")
 EVERY_LAYOUT = {
     "turn": ({"role": "user", "text": "p"}, [U]),
