@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.text import quoted
-from ledgerline.session import remove, written, written_at
+from ledgerline.session import remove, wide_writes, written, written_at
 
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
@@ -25,36 +25,40 @@ def sequence_numbers(
     """Row numbers 1..n over the whole frame in ``order_by`` order; ``total`` names a column for n.
 
     The rows are range-partitioned and sorted per partition, the position in the partition is taken from
-    ``monotonically_increasing_id`` and the sizes of the earlier partitions are added. The ranged rows are written
+    ``monotonically_increasing_id`` and the sizes of the earlier partitions are added. What is ranged is written
     to the shared folder, because both the sizes and the numbers must come from the same partitions; the sizes
     then need one column only.
 
     With ``unique`` the order columns identify a row. Otherwise ties are ordered by the other columns, or with
     ``ties="hash"`` by a hash of them, which keeps the sampled range keys of wide rows narrow; and exact copies, which
     no column can tell apart, by their place in the input. So one hot key or one large group of copies is still cut
-    into several ranges. For that place to be the same in a repeated task, and because choosing the ranges takes a pass of its own, the input is written first and removed
-    once the ranges are.
+    into several ranges. For that place to be the same whenever it is read, the input is written with it first. With
+    ``ties="hash"`` it is written with the hash too, only the order columns are then ranged, sorted and written, and a row
+    gets its number by its place: wide rows are shuffled once, by that place, and neither sampled nor written again.
     """
     keys = [quoted(k) for k in order_by]
-    work, place = df, None
+    columns = [quoted(c) for c in df.columns]
+    work, kept, place = df, columns, None
+    by_place = not unique and ties == "hash"
     if not unique:
         taken = {k.lower() for k in order_by}
         others = [f.name for f in df.schema if f.name.lower() not in taken and not isinstance(f.dataType, T.MapType)]
-        work, place = written_at(df, "numbering-input")
-        if ties == "hash":
+        if by_place:
             work = work.withColumn("_ties", F.xxhash64(*map(quoted, others)) if others else F.lit(0))
             keys.append("_ties")
         else:
             keys += map(quoted, others)
-        work = work.withColumn("_copy", F.monotonically_increasing_id())
+        with wide_writes(df.sparkSession):
+            work, place = written_at(work.withColumn("_copy", F.monotonically_increasing_id()), "numbering-input")
         keys.append("_copy")
+        kept = ["_copy"] if by_place else columns
     ranged = written(
         work.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
-        .select(*map(quoted, df.columns), F.monotonically_increasing_id().alias("_at")),
+        .select(*kept, F.monotonically_increasing_id().alias("_at")),
         "numbering",
     )
-    if place:
+    if place and not by_place:
         remove(df.sparkSession, place)
     part = F.shiftright("_at", _POSITION_BITS)
     sizes = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
@@ -69,11 +73,11 @@ def sequence_numbers(
     numbered = ranged.withColumn("_part", part).join(
         F.broadcast(starts), "_part"  # one row per shuffle partition
     )
-    return numbered.select(
-        *[quoted(c) for c in df.columns],
-        (F.col("_start") + position + 1).alias(name),
-        *([F.col("_total").alias(total)] if total else []),
-    )
+    numbers = [(F.col("_start") + position + 1).alias(name), *([F.col("_total").alias(total)] if total else [])]
+    if not by_place:
+        return numbered.select(*kept, *numbers)
+    added = [quoted(n) for n in (name, total) if n]
+    return work.join(numbered.select("_copy", *numbers), "_copy").select(*columns, *added)
 
 
 def quartile(rank: Column, n: Column) -> Column:

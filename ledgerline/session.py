@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,6 +76,25 @@ def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+@contextmanager
+def wide_writes(spark: SparkSession, folders: int = 8):
+    """Within the block, rows of many columns are written without generated methods so long that the JVM compiles them
+    badly, and a task that writes into at most ``folders`` partition folders keeps a file open in each, instead of sorting
+    its rows by folder first; with more folders Spark sorts as ever."""
+    settings = {
+        "spark.sql.codegen.hugeMethodLimit": "4000",
+        "spark.sql.maxConcurrentOutputFileWriters": str(folders),
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

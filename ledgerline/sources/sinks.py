@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.session import wide_writes
+
 PARTITION_COLUMN = "file_type"
 UPLOAD_COLUMN = "upload_id"
 # Quotes inside a text are doubled and outer blanks kept; the readers' CSV_OPTIONS match.
@@ -29,17 +31,19 @@ def write_zone(
         df, folders = df.withColumn(UPLOAD_COLUMN, F.lit(upload_id)), [*folders, UPLOAD_COLUMN]
     writer = df.write.mode("append").partitionBy(*folders).option("maxRecordsPerFile", max_rows_per_file)
     path = f"{zone}/{source}"
-    if fmt == "csv":
-        writer.options(**CSV_WRITE).csv(path)
-    elif fmt == "parquet":
-        writer.parquet(path)
-    else:
+    if fmt not in ("csv", "parquet"):
         raise ValueError(f"unknown zone format {fmt!r}")
+    with wide_writes(df.sparkSession):  # the upload classes are few
+        if fmt == "csv":
+            writer.options(**CSV_WRITE).csv(path)
+        else:
+            writer.parquet(path)
 
 
 def write_batch(df: DataFrame, path: str) -> DataFrame:
     """A batch's own folder, replaced as a whole if the batch runs again; returns its rows as written."""
-    df.write.mode("overwrite").parquet(path)
+    with wide_writes(df.sparkSession):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

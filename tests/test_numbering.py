@@ -41,6 +41,21 @@ def test_hot_key_and_copies_are_split(spark):
     assert max(sizes) < 20_000
 
 
+def test_only_keys_are_ranged_by_hash(spark):
+    """Wide rows are written once, with their place; the ranged files hold places alone. Copies and null keys keep a
+    number each."""
+    rows = [(k, f"w{v}", v) for k in (2, None, 1) for v in (5, 3, 5, None)] * 3
+    df = spark.createDataFrame(random.Random(2).sample(rows, len(rows)), "k int, `w.x` string, v int").repartition(5)
+    numbered = sequence_numbers(df, ["k"], "S.No", total="all", ties="hash")
+    assert numbered.columns == ["k", "w.x", "v", "S.No", "all"]
+    got = sorted(map(tuple, numbered.collect()), key=lambda r: r[3])
+    assert [r[3:] for r in got] == [(n, 36) for n in range(1, 37)]
+    assert [r[0] for r in got] == [None] * 12 + [1] * 12 + [2] * 12
+    assert sorted(map(repr, (r[:3] for r in got))) == sorted(map(repr, rows))
+    newest = max(Path(shared_dir(spark)).glob("numbering-*"), key=lambda p: p.stat().st_mtime)
+    assert spark.read.parquet(str(newest)).columns == ["_copy", "_at"]
+
+
 def test_empty_input_and_total(spark):
     rows = spark.createDataFrame([], "k int")
     assert sequence_numbers(rows, ["k"], "n", total="all").collect() == []
