@@ -18,7 +18,7 @@ from ledgerline.plans.catalog.cleaning import PUBLISHED, TRIMMED, typed_order_bo
 from ledgerline.plans.ingest_log import append_log, read_log, stamp_newest
 from ledgerline.plans.jobs import home_volume
 from ledgerline.schemas import CHURN, ORDER_BOOK_RAW
-from ledgerline.session import remove, scratch_path, table, written
+from ledgerline.session import remove, scratch_path, table, wide_writes, written
 from ledgerline.sources.checked import read_rates
 from ledgerline.sources.files import has_rows, latest_file, list_files, read_catalog_table, read_csv, read_parquet_zone
 from ledgerline.sources.files import read_zone, register_zone, with_file
@@ -226,9 +226,12 @@ def incremental_batch_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _three_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return written(adapters.raw_order_book(spark, sf_dir), "deliveries").withColumn(
-        "delivery", F.col("ordernumber") % 3
-    )
+    """The book with the number of each row's delivery, a folder per delivery, so that each reads its own rows only."""
+    book = adapters.raw_order_book(spark, sf_dir).withColumn("delivery", F.col("ordernumber") % 3)
+    place = scratch_path(spark, "deliveries")
+    with wide_writes(spark):
+        book.write.partitionBy("delivery").parquet(place)
+    return spark.read.schema(book.schema).parquet(place)
 
 
 @CATALOG.query(
@@ -257,7 +260,8 @@ def incremental_rule_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     for number in range(3):
         delivery = book.where(F.col("delivery") == number).drop("delivery")
-        delivery.write.mode("append").options(**CSV_WRITE).csv(incoming)
+        with wide_writes(spark):
+            delivery.write.mode("append").options(**CSV_WRITE).csv(incoming)
         load()
     remove(spark, f"{progress}/stream/commits/2")
     load()

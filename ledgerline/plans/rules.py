@@ -103,6 +103,20 @@ def resolve_rules(log: DataFrame, rule_lists: DataFrame, rules: DataFrame, stage
     return name_entries(of_upload, rules, stage).select("position", "rule_id", "rule_dscrp")
 
 
+def names_by_stage(
+    log: DataFrame, rule_lists: DataFrame, rules: DataFrame, stages: Sequence[str]
+) -> dict[str, list[str]]:
+    """Rule names of the newest upload in application order, for several stages: the log is asked once, and its one row
+    picks the lists."""
+    newest = latest_upload(log).first()
+    if newest is None:
+        return {stage: [] for stage in stages}
+    of_upload = rule_lists.where(
+        (F.col("file_src_cd") == F.lit(newest.file_src_cd)) & (F.col("file_upld_type") == F.lit(newest.file_upld_type))
+    )
+    return {stage: rule_names(name_entries(of_upload, rules, stage)) for stage in stages}
+
+
 def name_entries(rule_lists: DataFrame, rules: DataFrame, stage: str) -> DataFrame:
     """The rules of every listed source and upload type, with their place in the list."""
     entries = (

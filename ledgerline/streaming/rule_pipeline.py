@@ -59,10 +59,8 @@ def process_batch(
     spark = batch.sparkSession
     log, lists, catalogue = metadata()
     place = f"load={load}/batch_id={batch_id}"
-    names = {
-        stage: rules.rule_names(rules.resolve_rules(log, lists, catalogue, stage)) if source == "DS1" else []
-        for stage in (rules.RAW_TO_TRANSFORMED, rules.TRANSFORMED_TO_PUBLISHED)
-    }
+    stages = (rules.RAW_TO_TRANSFORMED, rules.TRANSFORMED_TO_PUBLISHED)
+    names = rules.names_by_stage(log, lists, catalogue, stages) if source == "DS1" else {s: [] for s in stages}
     first = rules.apply_rules(trim_strings(apply_mapping(batch, mapping)), names[rules.RAW_TO_TRANSFORMED])
     transformed = write_batch(first, f"{zones.transformed}/{source}/{place}")
     marks = f"{zones.progress}/marks"

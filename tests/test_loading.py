@@ -36,6 +36,49 @@ def test_rules_come_in_list_order(spark):
     assert resolve(spark, "") == [] and resolve(spark, "1", rules.TRANSFORMED_TO_PUBLISHED) == []
 
 
+def test_rules_of_all_stages_ask_the_log_once(spark):
+    """The same names as stage by stage; a log without rows or with an upload that no list has gives none."""
+    stages = (rules.RAW_TO_TRANSFORMED, rules.TRANSFORMED_TO_PUBLISHED)
+    lists = spark.createDataFrame([("DS2", "testing", "3, 1,3", "2"), ("DS1", "training", "9", "9"), (None, "testing", "4", "4")], RULE_LISTS)
+    known = spark.createDataFrame([(i, f"r{i}") for i in range(1, 10)], RULES)
+    asked = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            asked.add(batch.num_rows)
+            yield batch
+
+    log = log_frame(spark).coalesce(1).mapInArrow(seen, LOG)
+    assert rules.names_by_stage(log, lists, known, stages) == {stages[0]: ["r3", "r1"], stages[1]: ["r2"]}
+    assert asked.value == 3
+    newer = log_frame(spark).withColumn("file_src_cd", F.when(F.col("file_src_cd") == "DS1", "DS1"))
+    for frame in (log_frame(spark), log_frame(spark).limit(0), newer):
+        apart = {s: rules.rule_names(rules.resolve_rules(frame, lists, known, s)) for s in stages}
+        assert rules.names_by_stage(frame, lists, known, stages) == apart
+
+
+def test_deliveries_read_their_own_rows(spark):
+    from ledgerline.plans.catalog import loading
+
+    book = loading._three_deliveries(spark, "/root/testdata/sf0.001")
+    part = book.where(F.col("delivery") == 1)
+    assert 0 < len({r[0] for r in part.select(F.input_file_name()).distinct().collect()}) < len(book.inputFiles())
+    assert "PartitionFilters: [isnotnull(delivery" in part._jdf.queryExecution().executedPlan().toString()
+    assert part.where("ordernumber % 3 <> 1").isEmpty()
+
+
+def test_wide_writes_set_back_the_session(spark, tmp_path):
+    names = ("spark.sql.codegen.hugeMethodLimit", "spark.sql.maxConcurrentOutputFileWriters")
+    before = [spark.conf.get(n) for n in names]
+    with pytest.raises(ZeroDivisionError), session.wide_writes(spark):
+        assert [spark.conf.get(n) for n in names] == ["4000", "8"]
+        1 / 0
+    assert [spark.conf.get(n) for n in names] == before
+    many = spark.range(60).select("id", (F.col("id") % 20).cast("string").alias("file_type"))  # more folders than open files
+    sinks.write_zone(many, str(tmp_path), "DS1", "parquet")
+    assert spark.read.parquet(f"{tmp_path}/DS1").distinct().count() == 60
+
+
 def test_unknown_rules_are_an_error(spark):
     rows = spark.range(1)
     for name in ("__class__", "wri", "writeNowhere", "toString"):
