@@ -48,11 +48,15 @@ class WordIds:
 
     def _encode_new(self, words: list[str]) -> None:
         """Lower-case letters alone pass normaliser and splitter as they are, so the model takes them directly."""
-        tokenize, rest = self.tokenizer.model.tokenize, []
+        tokenize, known, rest = self.tokenizer.model.tokenize, self.known, []
         for word in words:
-            if word.isalpha() and word.islower() and word.lower() == word and is_normalized("NFC", word):
-                plain = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
-                self.known[word] = _packed([token.id for token in tokenize(plain)])
+            if not (word.isalpha() and word.islower()):
+                rest.append(word)
+            elif word.isascii():
+                known[word] = _packed([token.id for token in tokenize(word)])
+            elif word.lower() == word and is_normalized("NFC", word):
+                plain = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                known[word] = _packed([token.id for token in tokenize(plain)])
             else:
                 rest.append(word)
         for word, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
@@ -94,8 +98,11 @@ _OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_LETTERS = dict(zip([b for b in range(256) if b not in _OWN], map(chr, range(256, 512))))
 
 
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]  # most words have fewer ids
+
+
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _words(text: str) -> list[str]:
