@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import quoted
-from ledgerline.llm.common import Scratch, text_key, texts, with_text
+from ledgerline.llm.common import Scratch, forget, sliced, text_key, texts, with_text
 
 WINDOW, LONGEST = 16, 256  # bytes the hash looks back; a stretch without a cut is cut after so many bytes
 _GEAR = np.random.RandomState(8).randint(0, 2**32, 256, np.uint32)
@@ -91,11 +91,10 @@ def _chunked(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        forget()
         at = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in sliced(batches):
             n = batch.num_rows
-            if not n:
-                continue
             found = [chunks(text or b"") for text in batch.column(1).to_pylist()]
             digests = [np.array(f[0], np.uint64) for f in found]
             again = []

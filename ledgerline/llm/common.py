@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,6 +90,30 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of so many rows at most, so that a task holds few of its texts as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """What this worker keeps from task to task, made on first use. A worker outlives the operators that it works for, so
+    it keeps one thing at a time."""
+    if name not in _KEPT:
+        forget()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def forget() -> None:
+    """Let go of what another operator's tasks have kept in this worker."""
+    _KEPT.clear()
+
+
 class Memo(dict):
     """Values by key, made on first use. Two generations of ``most`` keys at most are kept, so a worker's memory
     stays bounded and what is used again survives; keys longer than ``longest`` are made each time."""

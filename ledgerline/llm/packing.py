@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Scratch, texts, tokenizer_file
+from ledgerline.llm.common import Scratch, kept, texts, tokenizer_file
 
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
 _SALTS = 32
@@ -111,13 +111,8 @@ def _words(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
-_ENCODERS: dict[str, WordIds] = {}
-
-
 def _word_ids(name: str) -> WordIds:
-    if name not in _ENCODERS:
-        _ENCODERS[name] = WordIds(tokenizer_file(name))
-    return _ENCODERS[name]
+    return kept(f"word ids of {name}", lambda: WordIds(tokenizer_file(name)))
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataFrame:

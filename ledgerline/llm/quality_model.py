@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import quoted
-from ledgerline.llm.common import Memo, texts
+from ledgerline.llm.common import Memo, forget, sliced, texts
 
 DIMS = 1 << 12
 BAD, GOOD, ABSTAIN = 0, 1, 2
@@ -209,8 +209,9 @@ def train(docs: DataFrame, sample: int = 8_000) -> Model:
     drawn by a hash of the text, so that the draw does not depend on the order of rows."""
 
     def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         memo = Memo(_word_bits)
-        for batch in batches:
+        for batch in sliced(batches):
             found = [votes(_read(text, memo)) for text in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["pattern"])
 
@@ -223,8 +224,9 @@ def train(docs: DataFrame, sample: int = 8_000) -> Model:
     model = Model(accuracy, prior, np.zeros(DIMS))
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         memo = Memo(_word_bits)
-        for batch in batches:
+        for batch in sliced(batches):
             found = [bits for text in batch.column(0).to_pylist() if (bits := _read(text, memo)).size]
             made = [_features(bits) for bits in found]
             label = model.posterior(np.array([votes(bits) for bits in found], np.int64)) if found else []
@@ -251,8 +253,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         memo = Memo(_word_bits)
-        for batch in batches:
+        for batch in sliced(batches):
             found = [_read(text, memo) for text in batch.column(1).to_pylist()]
             if found:
                 label = model.posterior(np.array([votes(bits) for bits in found], np.int64))
@@ -275,8 +278,9 @@ def good_documents(docs: DataFrame, sample: int = 8_000) -> DataFrame:
     model = train(docs, sample)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         memo = Memo(_word_bits)
-        for batch in batches:
+        for batch in sliced(batches):
             raw = batch.column("text").cast(pa.binary())
             good = [model.score(_read(text, memo)) >= 0.5 for text in raw.to_pylist()]
             yield batch.filter(pa.array(good, pa.bool_()))
