@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import quoted
-from ledgerline.llm.common import Memo, Scratch, text_key, texts, words
+from ledgerline.llm.common import Scratch, forget, sliced, text_key, texts, words
 from ledgerline.llm.components import components
 
 _U, _LAST = np.uint64, np.iinfo(np.int64).max
@@ -47,23 +47,28 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _word_memo() -> Memo:
-    import xxhash
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; for arrays this short a sort is several times as fast as ``np.unique``."""
+    values = np.sort(values)
+    first = np.ones(values.size, bool)
+    np.not_equal(values[1:], values[:-1], out=first[1:])
+    return values[first]
 
-    return Memo(xxhash.xxh3_64_intdigest)
 
+def shingle_set(found: list[bytes], size: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the word n-grams; fewer words than ``size`` make one n-gram of all. Words are
+    hashed each time: that takes less than to look them up in a memo."""
+    import xxhash
 
-def shingle_set(found: list[bytes], size: int, memo: Memo) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word n-grams; fewer words than ``size`` make one n-gram of all."""
     if not found:
         return np.empty(0, _U)
-    hashes = np.fromiter(map(memo.__getitem__, found), _U, len(found))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), _U, len(found))
     size = min(size, len(found))
     n = len(found) - size + 1
     mixed = np.full(n, size, _U)
     for k in range(size):
         mixed = mixed * _STEP + hashes[k : k + n]
-    return np.unique(_mix(mixed))
+    return _distinct(_mix(mixed))
 
 
 class Bands:
@@ -132,14 +137,15 @@ def neighbourhoods(found: np.ndarray, bands: Bands, costly: np.ndarray) -> np.nd
     for band, used in bands.homes(found.size):
         segment, own, sums, sizes = _segments(found, bands, band, used)
         hit = np.isin(_subset(sums, sizes, 0, band, np.arange(2 * used)), costly)
-        units = np.flatnonzero(hit[0::2] | hit[1::2])
+        chosen = hit[0::2] | hit[1::2]
+        units = np.flatnonzero(chosen)
         if units.size:
             total, size = sums[0::2] + sums[1::2], sizes[0::2] + sizes[1::2]
-            mine = np.isin(segment // 2, units)
+            mine = chosen[segment // 2]
             of, less = segment[mine] // 2, own[mine]
             out.append(_subset(total[units], size[units], 1, band, units))
             out.append(_subset(total[of] - less, size[of] - _U(1), 1, band, of))
-    return np.unique(np.concatenate(out)) if out else np.empty(0, _U)
+    return _distinct(np.concatenate(out)) if out else np.empty(0, _U)
 
 
 def sketch(found: np.ndarray, bands: Bands) -> bytes:
@@ -174,11 +180,10 @@ def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
         import xxhash
         from pyspark import TaskContext
 
-        bands, memo, at = Bands(percent), _word_memo(), TaskContext.get().partitionId() << 33
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            found = [shingle_set(words(t), size, memo) for t in batch.column(1).to_pylist()]
+        forget()
+        bands, at = Bands(percent), TaskContext.get().partitionId() << 33
+        for batch in sliced(batches):
+            found = [shingle_set(words(t), size) for t in batch.column(1).to_pylist()]
             digests = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in found]
             halves = [np.array([d >> s & 0xFFFFFFFFFFFFFFFF for d in digests], _U) for s in (64, 0)]
             yield pa.RecordBatch.from_arrays(
@@ -245,13 +250,13 @@ class Verifier:
         size, percent = self.size, self.percent
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            memo, last, mine = _word_memo(), None, None
-            for batch in batches:
+            last, mine = None, None
+            for batch in sliced(batches):
                 good = []
                 for a, _, text_a, text_b in zip(*(batch.column(k).to_pylist() for k in range(4))):
                     if last != a:
-                        last, mine = a, shingle_set(words(text_a), size, memo)
-                    theirs = shingle_set(words(text_b), size, memo)
+                        last, mine = a, shingle_set(words(text_a), size)
+                    theirs = shingle_set(words(text_b), size)
                     common = np.intersect1d(mine, theirs, assume_unique=True).size
                     good.append(100 * common >= percent * (mine.size + theirs.size - common))
                 yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
@@ -449,11 +454,11 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     costly = costly.join(verifier.whole(costly.select("row")), "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, memo = Bands(percent), _word_memo()
-        for batch in batches:
+        bands = Bands(percent)
+        for batch in sliced(batches):
             rows, found = [], [np.empty(0, _U)]
             for row, text, subset in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                found.append(neighbourhoods(shingle_set(words(text), size, memo), bands, np.array(subset, np.int64).view(_U)))
+                found.append(neighbourhoods(shingle_set(words(text), size), bands, np.array(subset, np.int64).view(_U)))
                 rows.append(row)
             repeated = np.repeat(np.array(rows, np.int64), [f.size for f in found[1:]])
             yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(found))), pa.array(repeated)], ["g", "row"])
